@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, quality_rules, simhash, token_counts
+from . import chat, decontamination, pieces, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, token_counts, toxicity
 from .common import table
 
 
@@ -20,15 +20,41 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids; the operator itself returns them and reads them back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode_rows(docs, tokenizer("piece_bpe_32k.model"), ids=False).drop("text")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").where("quality = 1")
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), trusted)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_bytes(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -41,7 +67,9 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_counts, op7_quality_rules, op9_simhash, op10_chat_formatting)}
+    return {f.__name__: f for f in (
+        op1_quality_classifier, op2_decontamination, op3_sentencepiece, op4_toxicity, op5_token_counts, op6_sharding,
+        op7_quality_rules, op8_suffix_dedup, op9_simhash, op10_chat_formatting)}
 
 
 def oracle_sql() -> dict[str, str]:
