@@ -1,7 +1,7 @@
 """Operator 4, toxicity: non-negative positive-unlabelled learning.
 
 Confirmed toxic documents are the positives; documents drawn from the whole corpus, labels unseen, are the
-unlabelled. A logistic classifier over hashed words minimises the class-prior-corrected risk
+unlabelled. A logistic classifier over hashed words and word beginnings minimises the class-prior-corrected risk
 
     prior * R(positive as 1) + max(0, R(unlabelled as 0) - prior * R(positive as 0)),
 
@@ -30,6 +30,7 @@ from .common import documents_only, fold_of, map_batches
 POSITIVES, UNLABELLED = 4_000, 8_000
 FOLDS, HELD_OUT, CUT = 3, 1, 0.7
 BUCKETS, FEATURES = 1 << 18, 1_024
+BEGINNINGS = (3, 4, 5)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -37,8 +38,14 @@ def words_of(text: object) -> set[str]:
     return set(_WORD.findall(text.lower())) if isinstance(text, str) else set()
 
 
-def bucket_of(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
+def buckets_of(word: str) -> list[int]:
+    """Of the word and of its first 3, 4 and 5 letters: inflected and compound words share a beginning."""
+    parts = [f"{word} ", *(word[:k] for k in BEGINNINGS if len(word) >= k)]
+    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in parts]
+
+
+def features_of(text: object) -> set[int]:
+    return {b for w in words_of(text) for b in buckets_of(w)}
 
 
 @dataclass
@@ -46,18 +53,20 @@ class Classifier:
     weights: np.ndarray  # of each bucket
     bias: float
 
-    def scores(self, texts: list[object], known: dict[str, float]) -> list[float]:
-        """``known`` keeps the weights of words seen before, bounded."""
+    def scores(self, texts: list[object], known: dict[str, list[int]]) -> list[float]:
+        """``known`` keeps the weighted buckets of words seen before, bounded."""
         out = []
         for text in texts:
-            total = self.bias
+            present: set[int] = set()
             for w in words_of(text):
-                weight = known.get(w)
-                if weight is None:
+                weighted = known.get(w)
+                if weighted is None:
                     if len(known) >= 500_000:
                         known.clear()
-                    weight = known[w] = float(self.weights[bucket_of(w)])
-                total += weight
+                    weighted = known[w] = [b for b in buckets_of(w) if self.weights[b]]
+                if weighted:
+                    present.update(weighted)
+            total = self.bias + sum(float(self.weights[b]) for b in sorted(present))
             out.append(1 / (1 + np.exp(-min(max(total, -30), 30))))
         return out
 
@@ -112,7 +121,7 @@ def learn(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
-    """POSITIVES + UNLABELLED rows at most come to the driver, as buckets of their different words."""
+    """POSITIVES + UNLABELLED rows at most come to the driver, as buckets."""
     texts = documents_only(docs).where(fold_of("doc_id", FOLDS) != HELD_OUT)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     known = known.where(fold_of("doc_id", FOLDS) != HELD_OUT).groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -124,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
 
     def make():
         def step(batch: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"doc_id": batch["doc_id"], "kind": batch["kind"], "x": [sorted(map(bucket_of, words_of(t))) for t in batch["text"]]})
+            return pd.DataFrame({"doc_id": batch["doc_id"], "kind": batch["kind"], "x": [sorted(features_of(t)) for t in batch["text"]]})
 
         return step
 
@@ -138,7 +147,7 @@ def score(docs: DataFrame, classifier: Classifier, cut: float = CUT) -> DataFram
     """Per document: doc_id, held_out, score, predicted."""
 
     def make():
-        known: dict[str, float] = {}
+        known: dict[str, list[int]] = {}
 
         def step(batch: pd.DataFrame) -> pd.DataFrame:
             scores = np.array(classifier.scores(list(batch["text"]), known))
