@@ -125,7 +125,7 @@ def _ordered(conversations: DataFrame, tokenizer_path: str) -> DataFrame:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = PrefixCounter(spec)
         for batch in batches:
-            sizes = [counter.count(turn_text(r, t)[0]) for r, t in zip(batch["role"], batch["text"], strict=True)]
+            sizes = counter.counts([turn_text(r, t)[0] for r, t in zip(batch["role"], batch["text"], strict=True)])
             yield batch.astype({"conv_id": "Int64", "turn": "Int64"}).assign(tokens=sizes)
 
     counted = rows.mapInPandas(count, "conv_id long, turn long, role string, text string, tokens long")

@@ -7,7 +7,7 @@ found from the last tokens of shorter prefixes, and a text's encoding is the one
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 #: Entries that a worker's memo may hold before it is emptied.
 MEMO = 1_000_000
@@ -49,28 +49,49 @@ class Lattice:
 
     def forward(self, text) -> tuple[list, list[int]]:
         """Of every prefix of ``text``: its last token, and its number of tokens."""
-        n, tokens, known, longest = len(text), self.tokens, self._joins, self.longest
-        last, count = [text[:0]] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            for before in range(max(0, i - longest), i):
-                piece = text[before:i]
-                if piece not in tokens and before < i - 1:
-                    continue
-                if before:
-                    follows = known.get((last[before], piece))
-                    if follows is None:
-                        follows = self.joins(last[before], piece)
-                    if not follows:
-                        continue
-                last[i], count[i] = piece, count[before] + 1
-                break
+        return next(self.forward_each([text]))
+
+    def forward_each(self, texts: Iterable) -> Iterator[tuple[list, list[int]]]:
+        """The same for many texts. A prefix that a text shares with the one before is not worked out again, so
+        sorted texts are cheap. The lists are good until the next step."""
+        tokens, known, longest = self.tokens, self._joins, self.longest
+        last, count, old = [], [0], None
+        for text in texts:
+            i = 0
+            if old is None:
+                last = [text[:0]]
             else:
-                raise AssertionError("a prefix without a last token")
-        return last, count
+                for i, (x, y) in enumerate(zip(old, text)):  # noqa: B007, B905
+                    if x != y:
+                        break
+                else:
+                    i = min(len(old), len(text))
+                del last[i + 1 :], count[i + 1 :]
+            old = text
+            for i in range(i + 1, len(text) + 1):
+                for before in range(max(0, i - longest), i):
+                    piece = text[before:i]
+                    if piece not in tokens and before < i - 1:
+                        continue
+                    if before:
+                        follows = known.get((last[before], piece))
+                        if follows is None:
+                            follows = self.joins(last[before], piece)
+                        if not follows:
+                            continue
+                    last.append(piece)
+                    count.append(count[before] + 1)
+                    break
+                else:
+                    raise AssertionError("a prefix without a last token")
+            yield last, count
 
     def encode(self, text) -> list:
-        last, _ = self.forward(text)
-        out, i = [], len(text)
+        return self.back(self.forward(text)[0])
+
+    def back(self, last: list) -> list:
+        """The tokens of the whole text, from its prefixes' last tokens."""
+        out, i = [], len(last) - 1
         while i:
             out.append(last[i])
             i -= len(last[i])

@@ -29,6 +29,10 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+#: Characters of texts whose pieces are worked out together.
+GROUP = 1 << 23
+
+
 class PrefixCounter:
     """Token counts of all prefixes under one tokenizer file (JSON text)."""
 
@@ -48,22 +52,39 @@ class PrefixCounter:
         self._space = regex.compile(r"\s+")
         self._counts: dict[str, int] = {}
 
-    def _piece(self, piece: str) -> int:
-        if len(self._counts) >= MEMO:
-            self._counts.clear()
-        found = self._counts[piece] = self.lattice.forward(piece.encode())[1][-1]
-        return found
-
     def _each(self, pieces: list[str]) -> list[int]:
-        known = self._counts.get
-        return [known(p) or self._piece(p) for p in pieces]
+        """Token counts of pieces; those not met before are worked out in sorted order, each from the prefix it shares."""
+        known = self._counts
+        new = {p for p in pieces if p not in known}
+        if new:
+            if len(known) + len(new) > MEMO:
+                known.clear()
+                new = set(pieces)
+            order = sorted(p.encode() for p in new)
+            known.update((p.decode(), c[-1]) for p, (_, c) in zip(order, self.lattice.forward_each(order), strict=True))
+        return [known[p] for p in pieces]
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """Tokens of each whole text: the last of its prefix counts. Texts are taken in groups of some ``GROUP`` characters."""
+        out, at = [], 0
+        while at < len(texts):
+            group, size, pieces, shares = at, 0, [], []
+            while at < len(texts) and (size == 0 or size + len(texts[at]) <= GROUP):
+                parts = self._special.split(texts[at])
+                own = [p for part in parts for p in self._split.findall(part)]
+                shares.append((len(own), len(parts) - 1))
+                pieces += own
+                size += len(texts[at])
+                at += 1
+            each, k = self._each(pieces), 0
+            for n, special in shares:
+                out.append(sum(each[k : k + n]) + special)
+                k += n
+            assert len(out) == at > group
+        return out
 
     def count(self, text: str) -> int:
-        """Tokens of the whole text: the last of its prefix counts."""
-        if not self._special.search(text):
-            return sum(self._each(self._split.findall(text)))
-        parts = self._special.split(text)
-        return len(parts) - 1 + sum(sum(self._each(self._split.findall(p))) for p in parts)
+        return self.counts([text])[0]
 
     def _within(self, piece: str) -> list[int]:
         """Counts of the piece's own prefixes, by characters."""
@@ -125,7 +146,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024) -> Dat
 
         def step(batch: pd.DataFrame) -> pd.DataFrame:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            counts = [counter.count(t) for t in texts]
+            counts = counter.counts(texts)
             return pd.DataFrame({
                 "doc_id": batch["doc_id"],
                 "n_bytes": [len(text_bytes(t)) for t in texts],
