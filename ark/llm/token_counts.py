@@ -70,7 +70,7 @@ class PrefixCounter:
         while at < len(texts):
             group, size, pieces, shares = at, 0, [], []
             while at < len(texts) and (size == 0 or size + len(texts[at]) <= GROUP):
-                parts = self._special.split(texts[at])
+                parts = self._special.split(texts[at]) if any(s in texts[at] for s in self.special) else texts[at : at + 1]
                 own = [p for part in parts for p in self._split.findall(part)]
                 shares.append((len(own), len(parts) - 1))
                 pieces += own
