@@ -74,3 +74,14 @@ def documents_only(df: DataFrame) -> DataFrame:
 def fold_of(column: str, parts: int):
     """crc32 of the id as text, modulo parts; null ids are of fold 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % parts, F.lit(0))
+
+
+def with_keys(rows: DataFrame, counted: DataFrame, on: list[str], total: int) -> DataFrame:
+    """The rows whose key is among ``counted`` (key columns and n, their rows in ``rows``).
+
+    Keys with over a thousandth of all rows, so a thousand at most, are broadcast: such a key's rows stay where they
+    are and no task gathers them. The others are joined by shuffle.
+    """
+    hot = F.broadcast(counted.where(F.col("n") > total / 1000).select(*on))
+    rest = rows.join(hot, on, "left_anti").join(counted.select(*on), on, "left_semi")
+    return rows.join(hot, on, "left_semi").union(rest)

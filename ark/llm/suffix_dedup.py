@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, stored, text_bytes
+from .common import bounded_batches, stored, text_bytes, with_keys
 
 LENGTH, GRAM = 400, 64
 #: Bytes of one numpy pass; anchors hold their place in it in 20 bits.
@@ -313,11 +313,12 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     """(__id, __mark, start, end) of all repeated windows, in runs that may overlap. ``rows``: __id, __mark, text."""
     bounded_batches(rows.sparkSession)
     every = stored(all_anchors(rows), "anchors")
-    twice = every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    every = stored(every.join(twice, "h", "left_semi"), "shared_anchors")
+    total = every.count()
+    twice = stored(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "grams")
+    every = stored(with_keys(every, twice, ["h"], total), "shared_anchors")
     place = F.struct("__id", "__mark", "at", "first", "last")
     classes = stored(every.groupBy("h", "x").agg(F.count("*").alias("n"), F.min(place).alias("one")), "classes")
-    whole = every.join(classes.where("n > 1").select("h", "x"), ["h", "x"], "left_semi")
+    whole = with_keys(every, classes.where("n > 1"), ["h", "x"], total)
     whole = whole.select("__id", "__mark", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end"))
     mixed = classes.groupBy("h").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
     wanted = stored(classes.join(mixed, "h").select("h", "kinds", "one.*"), "suffixes")
