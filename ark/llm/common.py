@@ -71,6 +71,14 @@ def documents_only(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def sheltered(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """The same columns in the same order; all but ``keep`` get names that no operator uses inside.
+
+    ``toDF(*docs.columns)`` of a result with these columns gives them back.
+    """
+    return docs.toDF(*[c if c in keep else f"__other_{k}" for k, c in enumerate(docs.columns)])
+
+
 def fold_of(column: str, parts: int):
     """crc32 of the id as text, modulo parts; null ids are of fold 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % parts, F.lit(0))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import documents_only, stored
+from .common import documents_only, sheltered, stored
 
 WINDOW = 10
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -151,4 +151,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -
     """The rows, with all their columns, in which no window of an item occurs."""
     bad = stored(decontaminate(docs, items, window).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct(), "contaminated")
     mark = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")) & (mark == F.col("__mark")), "left_anti")
+    kept = sheltered(docs).join(bad, F.col("doc_id").eqNullSafe(F.col("__id")) & (mark == F.col("__mark")), "left_anti")
+    return kept.toDF(*docs.columns)

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, stored
+from .common import bounded_batches, sheltered, stored
 from .lattice import MEMO, Lattice
 
 MARK = "▁"
@@ -300,6 +300,7 @@ def encode_rows(docs: DataFrame, model_path: str, giant: int = GIANT, size: int
         model = file.read()  # executors get the model with the task
     bounded_batches(docs.sparkSession)
     docs = docs.drop("ids", "n_pieces", "round_trip", "ids_sha256")
+    given, docs = docs.columns, sheltered(docs)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     names = list(kinds)
     schema = ", ".join(f"`{n}` {k}" for n, k in kinds.items()) + f", {RESULT if ids else RESULT.replace('ids array<int>, ', '')}, ids_sha256 string"
@@ -324,4 +325,5 @@ def encode_rows(docs: DataFrame, model_path: str, giant: int = GIANT, size: int
     texts = giants.select("__mark", "text").dropDuplicates(["__mark"])
     solved = _giant(texts, model, size).drop("text")
     joined = giants.join(solved, "__mark").select(*names, *[c for c in ("ids", "n_pieces", "round_trip")])
-    return small.unionByName(joined.mapInPandas(digests, schema))
+    out = small.unionByName(joined.mapInPandas(digests, schema))
+    return out.toDF(*given, *out.columns[len(given) :])

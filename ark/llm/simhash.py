@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents_only, map_batches, stored, text_bytes
+from .common import documents_only, map_batches, sheltered, stored, text_bytes
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
 #: Different fingerprints under one key from which the key is cut again.
@@ -151,5 +151,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, with all its columns: that of the smallest doc_id, and of its equals that of the smallest text hash."""
     marks, label, _ = _solve(docs)
     heads = marks.join(label, "fp").groupBy("root").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.col("mark").alias("__mark"))).alias("h")).select("h.*")
-    rows = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("__mark", text_mark())
-    return rows.join(heads, ["__id", "__mark"], "left_semi").dropDuplicates(["__id", "__mark"]).select(*docs.columns)
+    rows = sheltered(docs)
+    names = rows.columns
+    rows = rows.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("__mark", text_mark())
+    return rows.join(heads, ["__id", "__mark"], "left_semi").dropDuplicates(["__id", "__mark"]).select(*names).toDF(*docs.columns)

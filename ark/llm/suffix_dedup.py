@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, stored, text_bytes, with_keys
+from .common import bounded_batches, sheltered, stored, text_bytes, with_keys
 
 LENGTH, GRAM = 400, 64
 #: Bytes of one numpy pass; anchors hold their place in it in 20 bits.
@@ -144,14 +144,16 @@ def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
 
 def write_run(items: list[tuple]) -> bytes:
     """Sorted (suffix, left, numbers) as bytes: each suffix without the prefix that it shares with the one before."""
+    if not items:
+        return bytes(16)
     items = sorted(items)
     shared, heap, before = [], [], b""
     for suffix, left, _ in items:
         shared.append(common_prefix(before, suffix))
         heap += [suffix[shared[-1] :], left]
         before = suffix
-    head = np.array([[shared[k], len(heap[2 * k]), len(heap[2 * k + 1]), *items[k][2]] for k in range(len(items))], np.int64).reshape(len(items), -1)
-    return np.int64(len(items)).tobytes() + np.int64(head.shape[1] if len(items) else 0).tobytes() + head.tobytes() + b"".join(heap)
+    head = np.array([[shared[k], len(heap[2 * k]), len(heap[2 * k + 1]), *items[k][2]] for k in range(len(items))], np.int64)
+    return np.array(head.shape, np.int64).tobytes() + head.tobytes() + b"".join(heap)
 
 
 def read_run(run: bytes) -> Iterator[tuple[int, bytes, bytes, np.ndarray]]:
@@ -392,4 +394,5 @@ def drop_repeats(docs: DataFrame, least: int = 1) -> DataFrame:
             if len(out):
                 yield out
 
-    return _with_spans(docs).select(*docs.columns, "__spans").mapInPandas(run, docs.schema)
+    rows = sheltered(docs)
+    return _with_spans(rows).select(*rows.columns, "__spans").mapInPandas(run, rows.schema).toDF(*docs.columns)
