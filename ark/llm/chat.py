@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches
-from .token_counts import PrefixCounter
+from .token_counts import counter_of
 
 BUDGET, HISTORY = 1024, 256
 _TEXT, _ROLE, _BACK = re.compile(r"[\\#<]"), re.compile(r"[\\#<:]"), re.compile(r"\\(.)", re.DOTALL)
@@ -123,7 +123,7 @@ def _ordered(conversations: DataFrame, tokenizer_path: str) -> DataFrame:
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = PrefixCounter(spec)
+        counter = counter_of(spec)
         for batch in batches:
             sizes = counter.counts([turn_text(r, t)[0] for r, t in zip(batch["role"], batch["text"], strict=True)])
             yield batch.astype({"conv_id": "Int64", "turn": "Int64"}).assign(tokens=sizes)

@@ -1,8 +1,8 @@
 """Operator 3, SentencePiece encoding and decoding by a max-plus parallel scan.
 
 The public model is of the byte-pair kind, so a path's weight is not a sum of piece scores: a step from one piece
-to the next weighs 1 if the two may be neighbours (see ``lattice``) and minus infinity if not. One path from the
-start is finite; its weight is its number of pieces.
+to the next weighs its number of ids if the two may be neighbours (see ``lattice``) and minus infinity if not. One
+path from the start is finite; its weight is the number of ids.
 
 Giant documents are cut into chunks at fixed places, wherever those fall. A state at a cut is the last piece that
 ends at or before it, and how far before. Each chunk gives, by itself, a matrix of the weights from every state at
@@ -21,7 +21,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -35,23 +36,11 @@ from .lattice import MEMO, Lattice
 MARK = "▁"
 #: Characters of a chunk, and of a document from which it is cut into chunks.
 CHUNK, GIANT = 16_384, 49_152
+#: Characters of texts whose units are worked out together.
+GROUP = 4 << 20
 NONE = -(1 << 40)
 
 
-class Units(dict):
-    """Piece ids of each unit, kept for the next time."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, unit: str) -> tuple[int, ...]:
-        if len(self) >= MEMO // 2:
-            self.clear()
-        found = self[unit] = self.encode(unit)
-        return found
-
-
 class Pieces:
     """A byte-pair SentencePiece model, from the bytes of its file."""
 
@@ -76,14 +65,7 @@ class Pieces:
         for b, k in self.byte_ids.items():
             self.bytes_of[k] = bytes([b])
         self._inside = {p[k : k + 2] for p in self.lattice.tokens for k in range(len(p) - 1)}
-        self.units = Units(self._encode_unit)
-
-    def _encode_unit(self, unit: str) -> tuple[int, ...]:
-        """Neighbours that stand together in no piece part a unit again: more of it is remembered."""
-        cuts = [k for k in range(1, len(unit)) if unit[k - 1 : k + 1] not in self._inside]
-        if cuts:
-            return tuple(chain.from_iterable(self.units[unit[a:b]] for a, b in zip([0, *cuts], [*cuts, len(unit)], strict=True)))
-        return tuple(chain.from_iterable(map(self.piece_ids, self.lattice.encode(unit))))
+        self.units: dict[str, tuple[int, ...]] = {}  # ids of each unit met so far
 
     def marked(self, text: str) -> str:
         """The text as the model reads it: a mark in front and for each space."""
@@ -96,8 +78,44 @@ class Pieces:
         found = self.ids.get(piece)
         return (found,) if found is not None else tuple(self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass"))
 
+    def learn(self, units: Iterable[str]) -> None:
+        """Encode the units not met before, in sorted order: each starts from the prefix it shares with the one before.
+
+        Neighbours that stand together in no piece part a unit again, so more of it is met again.
+        """
+        known = self.units
+        new = {u for u in units if u not in known}
+        if len(known) + len(new) > MEMO:
+            known.clear()
+            new = set(units)
+        cut = {u: [u[a:b] for a, b in zip(c, c[1:])] for u in new if len(c := [0, *(k for k in range(1, len(u)) if u[k - 1 : k + 1] not in self._inside), len(u)]) > 2}
+        order = sorted({p for u in new for p in cut.get(u, (u,)) if p not in known})
+        back, ids = self.lattice.back, self.piece_ids
+        for part, (last, _) in zip(order, self.lattice.forward_each(order), strict=True):
+            known[part] = tuple(chain.from_iterable(map(ids, back(last))))
+        for u, parts in cut.items():
+            known[u] = tuple(chain.from_iterable(map(known.__getitem__, parts)))
+
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text; texts are taken in groups of some ``GROUP`` characters."""
+        at = 0
+        while at < len(texts):
+            group, size = [], 0
+            while at < len(texts) and (not group or size + len(texts[at]) <= GROUP):
+                group.append(self.parts(self.marked(texts[at])))
+                size += len(texts[at])
+                at += 1
+            self.learn(set(chain.from_iterable(group)))
+            for units in group:
+                yield np.fromiter(chain.from_iterable(map(self.units.__getitem__, units)), np.int32)
+
     def encode(self, text: str) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.units.__getitem__, self.parts(self.marked(text)))), np.int32)
+        return next(self.encode_all([text]))
+
+    def unit_ids(self, marked: str) -> list[int]:
+        units = self.parts(marked)
+        self.learn(units)
+        return list(chain.from_iterable(map(self.units.__getitem__, units)))
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -147,7 +165,7 @@ class Pieces:
                 if known is None or (i - start > 1 and piece not in lattice.tokens) or 0 < start <= distance:
                     continue
                 if not known[0] or lattice.joins(known[0], piece):
-                    found[i] = (piece, known[1] + 1)
+                    found[i] = (piece, known[1] + len(self.piece_ids(piece)))
                     break
         return found[distance:] if distance else found
 
@@ -166,9 +184,12 @@ class Pieces:
                     elif place <= 0 and state == (-place, piece):
                         out[r, c] = 0
             return out
-        middle = sum(len(self.lattice.encode(u)) if self._bytes(u) else len(self.units[u]) for u in self.parts(chunk[first:last]))
+        middle = len(self.unit_ids(chunk[first:last]))
         tail = chunk[last:]
-        ends, counts = self.lattice.forward(tail) if tail else ([""], [0])
+        ends = self.lattice.forward(tail)[0] if tail else [""]
+        counts = [0]
+        for k, piece in enumerate(ends[1:], 1):
+            counts.append(counts[k - len(piece)] + len(self.piece_ids(piece)))
         if last > first:
             closing = self.lattice.encode(self.parts(chunk[first:last])[-1])[-1]
         for r, state in enumerate(rows):
@@ -182,9 +203,6 @@ class Pieces:
                     out[r, c] = found[1] + middle + (counts[place] if place > 0 else 0)
         return out
 
-    def _bytes(self, unit: str) -> bool:
-        return len(unit) == 1 and unit not in self.ids
-
     def exits(self, before: str, chunk: str, final: bool) -> list[tuple[int, str]]:
         after = (before + chunk)[-self.reach :]
         return [s for s in self.states(after) if not final or s[0] == 0]
@@ -206,12 +224,18 @@ class Pieces:
             return np.array(back(self.walk(before, chunk, entry, len(chunk)), 0, upto), np.int32)
         if first:
             out += back(self.walk(before, chunk, entry, first), 0, first)
-        out += chain.from_iterable(map(self.units.__getitem__, self.parts(chunk[first:last])))
+        out += self.unit_ids(chunk[first:last])
         if upto > last:
             out += chain.from_iterable(map(self.piece_ids, self.lattice.encode(chunk[last:upto])))
         return np.array(out, np.int32)
 
 
+@lru_cache(maxsize=1)
+def pieces_of(model: bytes) -> Pieces:
+    """One for each Python worker: what a task has learnt the next one knows."""
+    return Pieces(model)
+
+
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The (max, +) product."""
     return np.maximum((a[:, :, None] + b[None, :, :]).max(1), NONE)
@@ -252,14 +276,14 @@ def _giant(rows: DataFrame, model: bytes, size: int) -> DataFrame:
     rows = stored(rows, "giants")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         for batch in batches:
             for mark, text in zip(batch["__mark"], batch["text"], strict=True):
                 for part in chunks_of(pieces.marked(text), size, pieces.reach):
                     yield pd.DataFrame([(mark, *part)], columns=["__mark", "part", "before", "chunk", "final"])
 
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         for batch in batches:
             found = [pieces.matrix(*x) for x in zip(batch["before"], batch["chunk"], batch["final"], strict=True)]
             yield pd.DataFrame({"__mark": batch["__mark"], "part": batch["part"], "width": [m.shape[1] for m in found], "weights": [m.ravel() for m in found]})
@@ -270,13 +294,13 @@ def _giant(rows: DataFrame, model: bytes, size: int) -> DataFrame:
         return pd.DataFrame({"__mark": group["__mark"], "part": group["part"], "entry": cuts[:-1], "leave": cuts[1:]})
 
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         for batch in batches:
             ids = [pieces.trace(b, c, pieces.states(b)[i], pieces.exits(b, c, f)[o]) for b, c, f, i, o in zip(batch["before"], batch["chunk"], batch["final"], batch["entry"], batch["leave"], strict=True)]
             yield pd.DataFrame({"__mark": batch["__mark"], "part": batch["part"], "ids": ids})
 
     def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         for batch in batches:
             for mark, text, ids in zip(batch["__mark"], batch["text"], batch["ids"], strict=True):
                 ids = np.asarray(ids, np.int32)
@@ -306,10 +330,10 @@ def encode_rows(docs: DataFrame, model_path: str, giant: int = GIANT, size: int
     schema = ", ".join(f"`{n}` {k}" for n, k in kinds.items()) + f", {RESULT if ids else RESULT.replace('ids array<int>, ', '')}, ids_sha256 string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            found = [_result(pieces, t, pieces.encode(t)) for t in texts]
+            found = [_result(pieces, t, i) for t, i in zip(texts, pieces.encode_all(texts), strict=True)]
             out = batch.assign(n_pieces=[f[1] for f in found], round_trip=[f[2] for f in found], ids_sha256=[digest(f[0]) for f in found])
             if ids:
                 out["ids"] = [f[0] for f in found]

@@ -10,6 +10,7 @@ other columns of the input are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import json
+from functools import lru_cache
 from itertools import accumulate
 
 import pandas as pd
@@ -30,7 +31,7 @@ def byte_characters() -> dict[str, int]:
 
 
 #: Characters of texts whose pieces are worked out together.
-GROUP = 1 << 23
+GROUP = 4 << 20
 
 
 class PrefixCounter:
@@ -136,13 +137,19 @@ class PrefixCounter:
         return len(text)
 
 
+@lru_cache(maxsize=1)
+def counter_of(spec: str) -> PrefixCounter:
+    """One for each Python worker: what a task has learnt the next one knows."""
+    return PrefixCounter(spec)
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024) -> DataFrame:
     """Per document: n_bytes, n_tokens, over_limit, and cut_chars, the characters of the longest prefix within the limit."""
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = file.read()  # executors get the vocabulary with the task; they need no file of their own
 
     def make():
-        counter = PrefixCounter(spec)
+        counter = counter_of(spec)
 
         def step(batch: pd.DataFrame) -> pd.DataFrame:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
