@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents_only, fold_of, map_batches
+from .common import documents_only, fold_of, map_batches, stored
 
 #: Documents to learn from, at most: those of the smallest hashes.
 POSITIVES, UNLABELLED = 4_000, 8_000
@@ -71,21 +71,20 @@ class Classifier:
         return out
 
 
-def document_frequencies(sets: list[np.ndarray]) -> np.ndarray:
-    return np.bincount(np.concatenate([*sets, np.zeros(0, np.int64)]).astype(np.int64), minlength=BUCKETS)
+def telling_buckets(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int, most: int = FEATURES) -> np.ndarray:
+    """The buckets that tell positives from unlabelled texts best, by document frequencies."""
+    a, b = (in_p + 0.5) / (n_p + 1), (in_u + 0.5) / (n_u + 1)
+    gain = np.where(in_p >= 2, a * np.log(a / b) + (1 - a) * np.log((1 - a) / (1 - b)), 0) * np.sign(a - b)
+    chosen = np.argsort(-gain, kind="stable")[:most]
+    return chosen[gain[chosen] > 0]
 
 
-def learn(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.05, ridge: float = 1e-4) -> Classifier:
-    """Full-batch Adam over the buckets that tell positives from unlabelled texts best."""
+def learn(positive: list[np.ndarray], unlabelled: list[np.ndarray], chosen: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, ridge: float = 1e-4) -> Classifier:
+    """Full-batch Adam over the chosen buckets."""
     weights = np.zeros(BUCKETS)
     if not positive or not unlabelled:
         p = float(np.clip(prior, 1e-9, 1 - 1e-9))
         return Classifier(weights, float(np.log(p / (1 - p))))
-    in_p, in_u = document_frequencies(positive), document_frequencies(unlabelled)
-    a, b = (in_p + 0.5) / (len(positive) + 1), (in_u + 0.5) / (len(unlabelled) + 1)
-    gain = np.where(in_p >= 2, a * np.log(a / b) + (1 - a) * np.log((1 - a) / (1 - b)), 0) * np.sign(a - b)
-    chosen = np.argsort(-gain, kind="stable")[:FEATURES]
-    chosen = chosen[gain[chosen] > 0]
     place = np.full(BUCKETS, -1)
     place[chosen] = np.arange(len(chosen))
 
@@ -121,7 +120,7 @@ def learn(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
-    """POSITIVES + UNLABELLED rows at most come to the driver, as buckets."""
+    """To the driver come the document frequencies of BUCKETS buckets, and POSITIVES + UNLABELLED rows of telling buckets, at most."""
     texts = documents_only(docs).where(fold_of("doc_id", FOLDS) != HELD_OUT)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     known = known.where(fold_of("doc_id", FOLDS) != HELD_OUT).groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -138,9 +137,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
         return step
 
     found = map_batches(texts.join(F.broadcast(chosen), "doc_id"), make, "doc_id long, kind int, x array<int>")
-    rows = found.orderBy(F.xxhash64("doc_id"), "doc_id", "kind").limit(POSITIVES + UNLABELLED).toPandas()
-    of = lambda kind: [np.asarray(x) for x in rows.loc[rows["kind"] == kind, "x"]]
-    return learn(of(1), of(0), prior)
+    rows = stored(found.groupBy("doc_id", "kind").agg(F.min("x").alias("x")), "learning")
+    n = {r["kind"]: r["n"] for r in rows.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    each = rows.select("kind", F.explode("x").alias("bucket")).groupBy("bucket").agg(F.sum("kind").alias("p"), F.sum(1 - F.col("kind")).alias("u")).toPandas()
+    in_p, in_u = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    in_p[each["bucket"]], in_u[each["bucket"]] = each["p"], each["u"]
+    telling = telling_buckets(in_p, in_u, n.get(1, 0), n.get(0, 0))
+    few = F.array_intersect("x", F.array(*map(F.lit, telling.tolist())).cast("array<int>"))
+    told = rows.select("doc_id", "kind", few.alias("x")).toPandas().sort_values("doc_id")
+    of = lambda kind: [np.asarray(x, np.int64) for x in told.loc[told["kind"] == kind, "x"]]
+    return learn(of(1), of(0), telling, prior)
 
 
 def score(docs: DataFrame, classifier: Classifier, cut: float = CUT) -> DataFrame:
