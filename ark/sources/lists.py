@@ -23,7 +23,7 @@ LARGEST = str(2**63 - 1)
 
 def faults(size: Column, digests: dict[str, Column]) -> Column:
     """Names of the fields that break their form; nulls are fine."""
-    whole = size.rlike("^[0-9]+$") & ((F.length(F.ltrim(F.lit("0"), size)) < 19) | ((F.length(F.ltrim(F.lit("0"), size)) == 19) & (F.ltrim(F.lit("0"), size) <= LARGEST)))
+    whole = size.rlike("^[0-9]+$") & ((F.length(F.ltrim(size, F.lit("0"))) < 19) | ((F.length(F.ltrim(size, F.lit("0"))) == 19) & (F.ltrim(size, F.lit("0")) <= LARGEST)))
     checks = [F.when(size.isNotNull() & ~whole, F.lit("size"))]
     checks += [F.when(v.isNotNull() & ~v.rlike(f"^[0-9a-fA-F]{{{DIGESTS[n]}}}$"), F.lit(n)) for n, v in digests.items()]
     return F.array_compact(F.array(*checks))
@@ -90,9 +90,11 @@ def export_records(texts: DataFrame) -> DataFrame:
                 try:
                     found = list(rows(name, text))
                 except (ValueError, KeyError, ElementTree.ParseError) as error:
-                    found = [{"file": name, "fault": str(error)}]
-                yield pd.DataFrame(found, columns=[c.split()[0] for c in EXPORT.split(", ")])
+                    found = [dict.fromkeys(columns) | {"file": name, "fault": str(error)}]
+                if found:
+                    yield pd.DataFrame(found, columns=columns, dtype=object)
 
+    columns = [c.split()[0] for c in EXPORT.split(", ")]
     return texts.select("file", "value").mapInPandas(run, EXPORT)
 
 
