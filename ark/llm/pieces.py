@@ -9,8 +9,8 @@ ends at or before it, and how far before. Each chunk gives, by itself, a matrix
 its left cut to every state at its right cut; matrices combine associatively under (max, +); a document's finite
 path fixes the state at each cut, and each chunk then traces its own pieces back. Other documents are one chunk.
 
-Between a word and the next word's mark no piece of the model reaches across, nor does any piece hold a character
-outside the model, so a text falls into units that are encoded once and remembered.
+No piece of the model reaches from a word into the next word's mark, or joins two characters of different groups
+(letters of one script, punctuation), so a text falls into units that are encoded once and remembered.
 
 Defined cases: null and empty texts have no pieces; a text is never cut short; "▁" (U+2581) in a text reads back
 as a space, as in the library; repeated rows are returned each; other columns are carried by ``encode_rows`` or
@@ -41,6 +41,25 @@ GROUP = 4 << 20
 NONE = -(1 << 40)
 
 
+def neighbours_in(pieces: Iterable[str]) -> list[list[str]]:
+    """Characters in groups: two that stand together in a piece are of one group. The word mark is left out."""
+    group: dict[str, str] = {}
+
+    def head(c: str) -> str:
+        while group.setdefault(c, c) != c:
+            c = group[c]
+        return c
+
+    for piece in pieces:
+        chars = piece.lstrip(MARK)
+        for a, b in zip(chars[:1] + chars, chars):
+            group[head(a)] = head(b)
+    found: dict[str, list[str]] = {}
+    for c in group:
+        found.setdefault(head(c), []).append(c)
+    return sorted(found.values(), key=lambda g: (-len(g), g))
+
+
 class Pieces:
     """A byte-pair SentencePiece model, from the bytes of its file."""
 
@@ -57,14 +76,12 @@ class Pieces:
             raise ValueError("a model with byte pieces, words marked in front and spaces kept is needed")
         scores = {names[k]: sp.get_score(k) for k in plain}
         self.lattice = Lattice({p for p in self.ids if len(p) > 1}, lambda a, b: None if (s := scores.get(a + b)) is None else -s)
-        soft = {c for p in self.lattice.tokens for c in p} - {MARK}
-        self._unit = re.compile(f"{MARK}*[{''.join(map(re.escape, sorted(soft)))}]+|{MARK}+|[^{MARK}]")
+        self._unit = re.compile("|".join([f"{MARK}*[{''.join(map(re.escape, sorted(g)))}]+" for g in neighbours_in(self.lattice.tokens)] + [f"{MARK}+", "."]), re.DOTALL)
         self.bytes_of = [b""] * n
         for p, k in self.ids.items():
             self.bytes_of[k] = p.replace(MARK, " ").encode()
         for b, k in self.byte_ids.items():
             self.bytes_of[k] = bytes([b])
-        self._inside = {p[k : k + 2] for p in self.lattice.tokens for k in range(len(p) - 1)}
         self.units: dict[str, tuple[int, ...]] = {}  # ids of each unit met so far
 
     def marked(self, text: str) -> str:
@@ -79,22 +96,25 @@ class Pieces:
         return (found,) if found is not None else tuple(self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass"))
 
     def learn(self, units: Iterable[str]) -> None:
-        """Encode the units not met before, in sorted order: each starts from the prefix it shares with the one before.
-
-        Neighbours that stand together in no piece part a unit again, so more of it is met again.
-        """
-        known = self.units
+        """Encode the units not met before, in sorted order: each starts from the prefix it shares with the one before."""
+        known, id_of = self.units, self.ids.get
         new = {u for u in units if u not in known}
-        if len(known) + len(new) > MEMO:
+        if len(known) + len(new) > MEMO // 2:
             known.clear()
             new = set(units)
-        cut = {u: [u[a:b] for a, b in zip(c, c[1:])] for u in new if len(c := [0, *(k for k in range(1, len(u)) if u[k - 1 : k + 1] not in self._inside), len(u)]) > 2}
-        order = sorted({p for u in new for p in cut.get(u, (u,)) if p not in known})
-        back, ids = self.lattice.back, self.piece_ids
-        for part, (last, _) in zip(order, self.lattice.forward_each(order), strict=True):
-            known[part] = tuple(chain.from_iterable(map(ids, back(last))))
-        for u, parts in cut.items():
-            known[u] = tuple(chain.from_iterable(map(known.__getitem__, parts)))
+        order = sorted(new)
+        for unit, (last, _) in zip(order, self.lattice.forward_each(order), strict=True):
+            out, i = [], len(unit)
+            while i:
+                piece = last[i]
+                found = id_of(piece)
+                if found is None:
+                    out.extend(reversed(self.piece_ids(piece)))
+                else:
+                    out.append(found)
+                i -= len(piece)
+            out.reverse()
+            known[unit] = tuple(out)
 
     def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text; texts are taken in groups of some ``GROUP`` characters."""
