@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -26,6 +27,10 @@ def gaps(df: DataFrame, key: str, order: str, offset: str, size: str) -> DataFra
     return df.withColumn("due", due).where(F.col(offset) != F.col("due"))
 
 
+#: Of a table without rows.
+EMPTY_DIGEST = hashlib.md5(b"").hexdigest()
+
+
 def table_digest(df: DataFrame, name: str) -> DataFrame:
     """(name, rows, digest), whatever the order of rows and columns: md5 over the sorted md5s of the rows.
 
