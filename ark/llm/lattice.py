@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Hashable, Iterable, Iterator
 
+import ahocorasick
+
 #: Entries that a worker's memo may hold before it is emptied.
 MEMO = 1_000_000
 
@@ -23,6 +25,10 @@ class Lattice:
         self.tokens, self.rank = tokens, rank
         self.longest = max(map(len, tokens), default=1)
         self._joins: dict = {}
+        self._automaton = ahocorasick.Automaton()
+        for t in tokens:
+            self._automaton.add_word(t if isinstance(t, str) else t.decode("latin-1"), t)
+        self._automaton.make_automaton()
 
     def merge(self, text) -> list:
         """The encoding by repeated merging; used for neighbours only, so on short texts."""
@@ -53,37 +59,45 @@ class Lattice:
 
     def forward_each(self, texts: Iterable) -> Iterator[tuple[list, list[int]]]:
         """The same for many texts. A prefix that a text shares with the one before is not worked out again, so
-        sorted texts are cheap. The lists are good until the next step."""
-        tokens, known, longest = self.tokens, self._joins, self.longest
+        sorted texts are cheap. The lists are good until the next step.
+
+        An automaton names the tokens that end at each place; the one that may follow the last token before it is
+        the place's last token. Where none may, it is the single unit.
+        """
+        matches, known = self._automaton.iter, self._joins
         last, count, old = [], [0], None
         for text in texts:
-            i = 0
+            shared = 0
             if old is None:
                 last = [text[:0]]
             else:
-                for i, (x, y) in enumerate(zip(old, text)):  # noqa: B007, B905
+                for x, y in zip(old, text):  # noqa: B905
                     if x != y:
                         break
-                else:
-                    i = min(len(old), len(text))
-                del last[i + 1 :], count[i + 1 :]
-            old = text
-            for i in range(i + 1, len(text) + 1):
-                for before in range(max(0, i - longest), i):
-                    piece = text[before:i]
-                    if piece not in tokens and before < i - 1:
+                    shared += 1
+                del last[shared + 1 :], count[shared + 1 :]
+            old, due = text, shared + 1  # due: the next place without a last token
+            for at, token in matches(text if isinstance(text, str) else text.decode("latin-1")):
+                if at + 1 < due:
+                    continue
+                while due <= at:
+                    last.append(text[due - 1 : due])
+                    count.append(count[due - 1] + 1)
+                    due += 1
+                before = due - len(token)
+                if before:
+                    follows = known.get((last[before], token))
+                    if follows is None:
+                        follows = self.joins(last[before], token)
+                    if not follows:
                         continue
-                    if before:
-                        follows = known.get((last[before], piece))
-                        if follows is None:
-                            follows = self.joins(last[before], piece)
-                        if not follows:
-                            continue
-                    last.append(piece)
-                    count.append(count[before] + 1)
-                    break
-                else:
-                    raise AssertionError("a prefix without a last token")
+                last.append(token)
+                count.append(count[before] + 1)
+                due += 1
+            while due <= len(text):
+                last.append(text[due - 1 : due])
+                count.append(count[due - 1] + 1)
+                due += 1
             yield last, count
 
     def encode(self, text) -> list:
