@@ -34,7 +34,7 @@ LENGTH, GRAM = 400, 64
 #: Bytes of one numpy pass; anchors hold their place in it in 20 bits.
 PASS = 1 << 20
 #: Suffixes of one bucket on average, and of one gram from which its windows are counted by fingerprint.
-BUCKET, CROWD = 20_000, 5_000
+BUCKET, CROWD = 5_000, 5_000
 RUN_BYTES = 16 << 20
 NO_ID = 2**63 - 1
 _ODD = 0x5851F42D4C957F2D  # an odd multiplier; its powers are invertible modulo 2**64
