@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import chain
 
 import numpy as np
@@ -39,6 +39,8 @@ CHUNK, GIANT = 16_384, 49_152
 #: Characters of texts whose units are worked out together.
 GROUP = 4 << 20
 NONE = -(1 << 40)
+#: Chunks whose matrices are multiplied in one task; a document's products are as few as its chunks by this.
+FAN = 64
 
 
 def neighbours_in(pieces: Iterable[str]) -> list[list[str]]:
@@ -268,9 +270,24 @@ def chunks_of(marked: str, size: int, reach: int) -> Iterator[tuple[int, str, st
         yield k, marked[max(0, k * size - reach) : k * size], marked[k * size : (k + 1) * size], k == n - 1
 
 
-def states_at_cuts(matrices: list[np.ndarray]) -> list[int]:
-    """The state at each cut, first to last, on the one finite path: from the weights up to a cut and from it on."""
-    ahead, back = [np.zeros((1, 1), np.int64)], [np.zeros((1, matrices[-1].shape[1]), np.int64)]
+def product(matrices: list[np.ndarray]) -> np.ndarray:
+    return reduce(combine, matrices)
+
+
+def states_at_cuts(matrices: list[np.ndarray], entry: int = 0, leave: int = 0) -> list[int]:
+    """The state at each cut, first to last, on the finite path from a state at the first to one at the last.
+
+    From the weights up to a cut and from it on. A whole document starts in its only state; at its end the path's
+    state is the one with a finite weight: ``leave`` below 0.
+    """
+
+    def one(n: int, k: int) -> np.ndarray:
+        out = np.full((1, n), NONE, np.int64)
+        out[0, k] = 0
+        return out
+
+    last = matrices[-1].shape[1]
+    ahead, back = [one(matrices[0].shape[0], entry)], [one(last, leave) if leave >= 0 else np.zeros((1, last), np.int64)]
     for m in matrices:
         ahead.append(combine(ahead[-1], m))
     for m in reversed(matrices):
@@ -308,9 +325,21 @@ def _giant(rows: DataFrame, model: bytes, size: int) -> DataFrame:
             found = [pieces.matrix(*x) for x in zip(batch["before"], batch["chunk"], batch["final"], strict=True)]
             yield pd.DataFrame({"__mark": batch["__mark"], "part": batch["part"], "width": [m.shape[1] for m in found], "weights": [m.ravel() for m in found]})
 
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
+    def unpacked(group: pd.DataFrame) -> list[np.ndarray]:
+        return [np.asarray(w, np.int64).reshape(-1, n) for w, n in zip(group["weights"], group["width"], strict=True)]
+
+    def multiply(group: pd.DataFrame) -> pd.DataFrame:
+        whole = product(unpacked(group.sort_values("part")))
+        return pd.DataFrame([(group["__mark"].iloc[0], group["block"].iloc[0], whole.shape[1], whole.ravel())], columns=["__mark", "block", "width", "weights"])
+
+    def over_blocks(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("block")
+        cuts = states_at_cuts(unpacked(group), leave=-1)
+        return pd.DataFrame({"__mark": group["__mark"], "block": group["block"], "first": cuts[:-1], "last": cuts[1:]})
+
+    def over_chunks(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("part")
-        cuts = states_at_cuts([np.asarray(w).reshape(-1, n) for w, n in zip(group["weights"], group["width"], strict=True)])
+        cuts = states_at_cuts(unpacked(group), int(group["first"].iloc[0]), int(group["last"].iloc[0]))
         return pd.DataFrame({"__mark": group["__mark"], "part": group["part"], "entry": cuts[:-1], "leave": cuts[1:]})
 
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -328,8 +357,11 @@ def _giant(rows: DataFrame, model: bytes, size: int) -> DataFrame:
 
     # chunks are dealt anew: one document's are worked on by many tasks
     parts = stored(rows.mapInPandas(cut, "__mark long, part long, before string, chunk string, final boolean"), "chunks").repartition("__mark", "part")
-    weights = parts.mapInPandas(matrices, "__mark long, part long, width long, weights array<long>")
-    cuts = weights.groupBy("__mark").applyInPandas(solve, "__mark long, part long, entry long, leave long")
+    weights = stored(parts.mapInPandas(matrices, "__mark long, part long, width long, weights array<long>"), "matrices").withColumn("block", F.expr(f"part div {FAN}"))
+    # up: products of neighbours; across: a document's few products; down: the chunks of each block
+    products = weights.groupBy("__mark", "block").applyInPandas(multiply, "__mark long, block long, width long, weights array<long>")
+    ends = products.groupBy("__mark").applyInPandas(over_blocks, "__mark long, block long, first long, last long")
+    cuts = weights.join(ends, ["__mark", "block"]).groupBy("__mark", "block").applyInPandas(over_chunks, "__mark long, part long, entry long, leave long")
     traced = parts.join(cuts, ["__mark", "part"]).mapInPandas(trace, "__mark long, part long, ids array<int>")
     whole = traced.groupBy("__mark").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("part", "ids"))), lambda x: x["ids"])).alias("ids"))
     return rows.join(whole, "__mark").mapInPandas(close, f"__mark long, text string, {RESULT}")

@@ -338,7 +338,11 @@ def test_chunks_equal_the_whole(model):
         assert model.decode(model.encode(text)) == text.replace("▁", " ")
         cut = list(pieces.chunks_of(model.marked(text), rng.choice([33, 40, 50]), model.reach))
         weights = [model.matrix(b, c, f) for _, b, c, f in cut]
-        at = pieces.states_at_cuts(weights)
+        at = pieces.states_at_cuts(weights, leave=-1)
+        middle = len(weights) // 2
+        if middle:  # by blocks: products first, then within each
+            ends = pieces.states_at_cuts([pieces.product(weights[:middle]), pieces.product(weights[middle:])], leave=-1)
+            assert at == pieces.states_at_cuts(weights[:middle], ends[0], ends[1])[:-1] + pieces.states_at_cuts(weights[middle:], ends[1], ends[2])
         parts = [model.trace(b, c, model.states(b)[at[j]], model.exits(b, c, f)[at[j + 1]]) for j, b, c, f in cut]
         assert np.concatenate(parts).tolist() == ids
 
@@ -350,7 +354,8 @@ def test_max_plus_products_are_associative(model):
 
 
 @pytest.mark.parametrize("giant", [49_152, 300])
-def test_encode_rows(spark, docs, none, model, giant):
+def test_encode_rows(spark, docs, none, model, giant, monkeypatch):
+    monkeypatch.setattr(pieces, "FAN", 3)
     path = tokenizer("piece_bpe_32k.model")
     found = pieces.encode_rows(docs, path, giant=giant, size=128)
     plain = want((i, model.library.encode(t or ""), True) for i, t in pairs(docs))
