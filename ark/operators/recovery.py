@@ -78,3 +78,28 @@ def recovered_headers(candidates: DataFrame, changed: int = 2, four: bool = Fals
 
     found = candidates.select("target_id", "header", "body", "crc32", "sha1").mapInPandas(run, "target_id long, header binary, method string")
     return found.groupBy("target_id").agg(F.min(F.struct("method", "header")).alias("m")).select("target_id", "m.header", "m.method")
+
+
+def pair_checks(pairs: DataFrame) -> DataFrame:
+    """(headered_id, headerless_id, status) of published pairs: does a known header before the body give the headered file's CRC?
+
+    ``pairs``: headered_id, headerless_id, header, body_crc32, body_size (null where no body is stored), crc32. By the
+    algebra of CRC-32 no body is read.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for a, b, header, body_crc, size, want in zip(*(batch[c] for c in ("headered_id", "headerless_id", "header", "body_crc32", "body_size", "crc32")), strict=True):
+                if header is None:
+                    status = "no_header"
+                elif pd.isna(size) or body_crc is None:
+                    status = "body_unavailable"
+                else:
+                    whole = crc_shift(zlib.crc32(bytes(header)), int(size)) ^ int(body_crc, 16)
+                    status = "verified" if whole == int(want, 16) else "mismatch"
+                out.append((a, b, status))
+            yield pd.DataFrame(out, columns=["headered_id", "headerless_id", "status"])
+
+    kinds = dict(pairs.dtypes)
+    return pairs.mapInPandas(run, f"headered_id {kinds['headered_id']}, headerless_id {kinds['headerless_id']}, status string")

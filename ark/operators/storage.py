@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from ..catalog import Catalog
 from ..functions.expressions import hashes
+from ..schemas import SCHEMAS
 from .groups import decode_members, encode_groups, next_fit
 
 BLOCK, CAP = 64 << 10, 32 << 20
@@ -107,3 +108,28 @@ def positions(catalog: Catalog) -> DataFrame:
     first = at.groupBy("object_id").agg(F.min(F.struct("group_id", F.col("o").alias("offset"))).alias("p")).select("object_id", "p.*")
     bodies = catalog.nes_recipes.select("object_id", F.col("body_object_id")).join(first.withColumnRenamed("object_id", "body_object_id"), "body_object_id")
     return first.unionByName(bodies.drop("body_object_id").join(first, "object_id", "left_anti"))
+
+
+def regroup(catalog: Catalog, folder: str, cap: int) -> Catalog:
+    """A copy of the catalog with its blocks packed anew, family by family, into groups of another cap. Identities stay."""
+    of_group = catalog.solid_group_families.groupBy("group_id").agg(F.min("family_key").alias("family"))
+    held = catalog.chunks.where("group_id is not null")
+    groups = catalog.compression_groups.select(F.col("id").alias("group_id"), "data", F.lower(F.hex("sha256")).alias("sha256"))
+    places = held.select(F.col("id").alias("chunk_id"), "group_id", F.col("group_offset").alias("offset"), "size")
+    bytes_of = decode_members(groups, places, ["group_id"], "chunk_id")
+    named = held.join(of_group, "group_id", "left").select("id", F.lower(F.hex("sha256")).alias("sha256"), "size", F.coalesce("family", F.lit("")).alias("family"))
+    plan = next_fit(named, "family", "sha256", "size", cap).join(named.select("id", "sha256"), "sha256")
+    plan = plan.checkpoint() if plan.sparkSession.sparkContext.getCheckpointDir() else plan.cache()
+    packed = encode_groups(plan.join(bytes_of.withColumnRenamed("chunk_id", "id"), "id"), ["family", "group_no"], "offset", "content").withColumn("new_group", id_of(F.col("sha256")))
+    packed = packed.checkpoint() if packed.sparkSession.sparkContext.getCheckpointDir() else packed.cache()
+    copy = Catalog(catalog.spark, folder)
+    moved = ("chunks", "compression_groups", "solid_group_families")
+    for name in SCHEMAS:
+        if name not in moved and catalog.written(name):
+            copy.append(name, catalog.table(name))
+    placed = plan.join(packed.select("family", "group_no", "new_group"), ["family", "group_no"]).select("id", F.col("new_group").alias("group_id"), F.col("offset").alias("group_offset"))
+    copy.append("chunks", held.drop("group_id", "group_offset").join(placed, "id"))
+    copy.append("chunks", catalog.chunks.where("group_id is null"))
+    copy.append("compression_groups", packed.select(F.col("new_group").alias("id"), F.unhex("sha256").alias("sha256"), F.unhex(F.sha2("data", 256)).alias("encoded_sha256"), F.col("raw_size").alias("size"), F.lit("lzma2-solid").alias("codec"), "data"))
+    copy.append("solid_group_families", packed.select(F.col("new_group").alias("group_id"), F.lit(0).alias("ordinal"), F.col("family").alias("family_key")))
+    return copy

@@ -43,6 +43,23 @@ def test_store_fetch_verify(spark, tmp_path):
     assert one == table_digest(catalog.objects.repartition(3).select(*catalog.objects.columns[::-1]), "x").collect()[0].digest
 
 
+def test_regroup(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path / "c"))
+    storage.store(catalog, spark.createDataFrame(contents(), "family string, content binary"), block=1000, cap=2000)
+    copy = storage.regroup(catalog, str(tmp_path / "d"), cap=100_000)
+    assert copy.compression_groups.count() < catalog.compression_groups.count()
+    assert copy.chunks.count() == catalog.chunks.count()
+    assert storage.verify(copy).count() == 0
+
+
+def test_pair_checks(spark):
+    header, body = b"NES\x1a" + bytes(12), RNG.randbytes(99)
+    good, part = f"{zlib.crc32(header + body):08x}", f"{zlib.crc32(body):08x}"
+    rows = [("a", "1", header, part, 99, good), ("b", "2", header, part, 99, "00000000"), ("c", "3", header, None, None, good), ("d", "4", None, part, 99, good)]
+    df = spark.createDataFrame(rows, "headered_id string, headerless_id string, header binary, body_crc32 string, body_size long, crc32 string")
+    assert {r.headered_id: r.status for r in recovery.pair_checks(df).collect()} == {"a": "verified", "b": "mismatch", "c": "body_unavailable", "d": "no_header"}
+
+
 def test_blocks_restart_at_cuts(spark):
     df = spark.createDataFrame([(1, b"a" * 25, [12, 0, 99])], "object_id long, content binary, cuts array<int>")
     got = [(r.offset, r.size) for r in storage.blocks_of(df, "object_id", 10, "cuts").orderBy("ordinal").collect()]
