@@ -12,7 +12,7 @@ from collections.abc import Callable, Hashable, Iterable, Iterator
 import ahocorasick
 
 #: Entries that a worker's memo may hold before it is emptied.
-MEMO = 1_000_000
+MEMO = 400_000
 
 
 class Lattice:

@@ -34,7 +34,7 @@ class Buckets(dict):
     """Hash of each word, kept for the next time; bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         found = self[word] = zlib.crc32(word)
         return found
