@@ -115,11 +115,11 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         best = F.min(F.struct("label", "root"))
         near = at.select(F.col("fp").alias("near"), "label", "root").join(both, "near").groupBy("fp").agg(best.alias("m"))
         step = at.withColumnsRenamed({"label": "own", "root": "own_root"}).join(near, "fp").select(
-            "fp", "own", F.least(F.struct(F.col("own").alias("label"), F.col("own_root").alias("root")), F.col("m")).alias("m"))
+            "fp", "own", "own_root", F.least(F.struct(F.col("own").alias("label"), F.col("own_root").alias("root")), F.col("m")).alias("m"))
         step = stored(step, "step")
         jump = step.select(F.col("fp").alias("r"), F.col("m").alias("via"))
-        at = stored(step.join(jump, F.col("m.root") == F.col("r")).select("fp", "own", F.least("m", "via").alias("m")).select("fp", "own", "m.label", "m.root"), "labels")
-        if at.where(F.col("own") != F.col("label")).isEmpty():
+        at = stored(step.join(jump, F.col("m.root") == F.col("r")).select("fp", "own", "own_root", F.least("m", "via").alias("m")).select("fp", "own", "own_root", "m.label", "m.root"), "labels")
+        if at.where((F.col("own") != F.col("label")) | (F.col("own_root") != F.col("root"))).isEmpty():
             break
         at = at.select("fp", "label", "root")
     # root is the fingerprint that holds the label: one name for each component
