@@ -150,6 +150,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, with all its columns: that of the smallest doc_id, and of its equals that of the smallest text hash."""
     marks, label, _ = _solve(docs)
+    return keep_heads(docs, marks, label)
+
+
+def keep_heads(docs: DataFrame, marks: DataFrame, label: DataFrame) -> DataFrame:
+    """The rows ``keep_one`` keeps, of components that are found. ``marks``: (doc_id, mark, fp); ``label``: (fp, root)."""
     heads = marks.join(label, "fp").groupBy("root").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.col("mark").alias("__mark"))).alias("h")).select("h.*")
     rows = sheltered(docs)
     names = rows.columns
