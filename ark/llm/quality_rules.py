@@ -4,6 +4,9 @@ The score of a text is the mean, over its words and neighbouring word pairs, of
 multinomials over hash buckets, one counted over trusted documents, one over the whole corpus. A text is
 kept if it passes the base rules and its score is at least a fixed threshold.
 
+That level depends on how well trusted texts cover a text's buckets, so ``keep_good``, the pipeline's stage, scores each
+text against counts without itself, and lowers the threshold of a language to what its own trusted texts reach so.
+
 Defined cases: a null or empty text has no words, so it fails the base rules; very long texts are scored
 whole; a repeated row counts as often as it stands; a document is trusted if any of its labels is; without
 any trusted text every score is 0; other columns of the input are ignored.
@@ -12,6 +15,7 @@ any trusted text every score is 0; other columns of the input are ignored.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,11 +23,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents_only, map_batches, text_bytes
+from .common import bounded_batches, documents_only, map_batches, sheltered, text_bytes
 
 BUCKETS = 1 << 16
 #: Mean log ratio per n-gram from which a text is kept.
 THRESHOLD = -0.13
+#: Share of a language's trusted texts that may lie below its held-out threshold, and the steps of a score that are told apart.
+REJECTED, BINS = 0.01, 1000
 #: Trusted ids up to this number (8 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 SYMBOLS = b"#*$%&|<>"
@@ -131,19 +137,68 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     return map_batches(documents_only(docs), make, f"doc_id long, {BASE}, llr double, kept boolean")
 
 
+def held_out_score(found: np.ndarray, own: bool, raw: np.ndarray, target: np.ndarray) -> float:
+    """Mean log(target / raw) of a text's buckets, both counted without the text itself; ``own``: it is in the target."""
+    at, times = np.unique(found.astype(np.int64), return_counts=True)
+    n, trusted = len(found), target.sum() - own * len(found)
+    if not n or not trusted:
+        return 0.0
+    ratio = np.log(target[at] - own * times + 1) - np.log(raw[at] - times + 1)
+    return float((ratio * times).sum() / n - np.log(trusted + BUCKETS) + np.log(raw.sum() - n + BUCKETS))
+
+
+def held_out_thresholds(scores: DataFrame, threshold: float) -> tuple[dict[str | None, float], float]:
+    """Of (lang, bin, n), the trusted texts' held-out scores: per language, and for languages without any.
+
+    At most ``REJECTED`` of a language's trusted texts lie below, and of all of them; no threshold is above the fixed one.
+    """
+    rows = scores.groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()
+
+    def edge(of: pd.DataFrame, threshold: float) -> float:
+        of = of.groupby("bin")["n"].sum().sort_index()
+        if of.empty:
+            return threshold
+        return min(threshold, float(of.index[np.searchsorted(of.cumsum().to_numpy(), int(REJECTED * of.sum()), side="right")]) / BINS)
+
+    of_all = edge(rows, threshold)
+    return {None if pd.isna(lang) else lang: edge(of, of_all) for lang, of in rows.groupby("lang", dropna=False)}, of_all
+
+
 def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows, with all their columns, that ``quality_rules`` keeps."""
-    ratios = log_ratios(bucket_counts(docs, trusted))
-    bounded_batches(docs.sparkSession)
+    """The rows, with all their columns, that pass the base rules and whose held-out score is at least the threshold of their ``lang``."""
+    spark = docs.sparkSession
+    rows = bucket_counts(docs, trusted).toPandas()
+    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    raw[rows["bucket"]], target[rows["bucket"]] = rows["raw"], rows["target"]
+    ids = trusted.select(F.col("doc_id").cast("long").alias("__id")).where("__id is not null").distinct().withColumn("__trusted", F.lit(True))
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    marked = sheltered(docs, ("doc_id", "text", "lang"))
+    names = marked.columns
+    lang = F.col("lang").cast("string") if "lang" in names else F.lit(None).cast("string")
+    marked = marked.withColumn("__lang", lang).withColumn("__id", F.col("doc_id").cast("long"))
+    bounded_batches(spark)
+
+    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, found = Buckets(), Counter()
+        for batch in batches:
+            for text, lang in zip(map(text_bytes, batch["text"]), batch["__lang"], strict=True):
+                words = text.split()
+                if not base_rules(text, words)[-1]:
+                    found[lang, int(np.floor(BINS * held_out_score(ngram_buckets(words, hashes), True, raw, target)))] += 1
+        yield pd.DataFrame([(lang, at, n) for (lang, at), n in found.items()], columns=["lang", "bin", "n"])
+
+    own = marked.join(ids, "__id").select("text", "__lang")
+    of_lang, of_all = held_out_thresholds(own.mapInPandas(scores, "lang string, bin long, n long"), threshold)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Buckets()
         for batch in batches:
             good = []
-            for text in map(text_bytes, batch["text"]):
+            for text, lang, own in zip(map(text_bytes, batch["text"]), batch["__lang"], batch["__trusted"], strict=True):
                 words = text.split()
-                good.append(not base_rules(text, words)[-1] and ratios[ngram_buckets(words, hashes)].mean() >= threshold)
+                good.append(not base_rules(text, words)[-1] and held_out_score(ngram_buckets(words, hashes), own is True, raw, target) >= of_lang.get(lang, of_all))
             if any(good):
-                yield batch[np.array(good, bool)]
+                yield batch[names][np.array(good, bool)]
 
-    return docs.mapInPandas(run, docs.schema)
+    found = marked.join(ids, "__id", "left").select(*names, "__lang", "__trusted")
+    return found.mapInPandas(run, marked.select(*names).schema).toDF(*docs.columns)
