@@ -29,9 +29,9 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of the ids; the operator itself returns them and reads them back."""
+    """The ids of each text, their number and digest, and whether they read back as the text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pieces.encode_rows(docs, tokenizer("piece_bpe_32k.model"), ids=False).drop("text")
+    return pieces.encode_rows(docs, tokenizer("piece_bpe_32k.model")).drop("text")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
