@@ -93,3 +93,18 @@ def with_keys(rows: DataFrame, counted: DataFrame, on: list[str], total: int) ->
     hot = F.broadcast(counted.where(F.col("n") > total / 1000).select(*on))
     rest = rows.join(hot, on, "left_anti").join(counted.select(*on), on, "left_semi")
     return rows.join(hot, on, "left_semi").union(rest)
+
+
+def with_counts(rows: DataFrame, counted: DataFrame, on: str, total: int) -> DataFrame:
+    """The rows whose key is among ``counted``, each with its key's n; hot keys as in ``with_keys``."""
+    hot = F.broadcast(counted.where(F.col("n") > total / 1000).select(on, "n"))
+    rest = rows.join(hot.select(on), on, "left_anti").join(counted.where(F.col("n") <= total / 1000).select(on, "n"), on)
+    return rows.join(hot, on).select(*rows.columns, "n").union(rest.select(*rows.columns, "n"))
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables written by ``stored`` that no plan reads any more."""
+    for df in tables:
+        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,40 +1,45 @@
-"""Operator 8, suffix-array dedup: bytes covered by a string of 400 that starts anywhere else too.
-
-Finding. Each window of 400 bytes is anchored at the smallest hash of its 64-byte grams (the leftmost of equal
-ones), so equal windows have equal anchors at equal offsets. Only anchors whose gram stands twice or more can
-belong to a repeat; the rest, most of a corpus, goes after one count of hashes. A run of windows with one anchor
-is a class by the hash of all its bytes: the windows of a class of two or more are repeated.
-
-Sorting. What is left are runs that differ somewhere but share a gram: the borders of copied passages. Tasks sort
-their anchors' suffixes and exchange them as front-coded runs; a loser tree merges the runs, comparing two
-suffixes only behind the prefix that both are known to share with the last output, so the merged order comes with
-its common prefix lengths. Windows at one offset are equal where the right-hand common prefix is long enough and
-the left-hand bytes have one hash; each offset is settled for all suffixes of a bucket at once, never by pairs.
-A gram at the border of very many different surroundings would make one bucket too large: its windows are counted
-by fingerprint instead, which a map-side combine keeps small. Hashes are of 64 bits.
-
-Defined cases: null and empty texts, and texts of under 400 bytes, lose nothing; repeated rows are copies of each
-other, so both lose all; matches never cross documents; other columns pass unchanged through ``drop_repeats``; an
-empty table gives an empty result.
+"""Operator 8, suffix-array dedup: bytes covered by a string of ``length`` that starts anywhere else too.
+
+Candidates. Each window of ``length`` bytes is anchored at the smallest hash of its grams (the leftmost of equal
+ones), so equal windows have equal anchors at equal offsets. Only anchors whose gram stands twice or more can belong
+to a repeat; the rest, most of a corpus, goes after one count of hashes. A run of windows with one anchor is one
+entry: its suffix from the anchor on, and the bytes before the anchor.
+
+Sorting. Tasks sort their entries and exchange them as front-coded runs, dealt by gram. A loser tree merges the runs
+of a bucket, comparing two suffixes only behind the prefix that both are known to share with the last output, so the
+merged order comes with its common prefix lengths. The bytes before the anchors are ranked likewise. Windows at one
+offset are equal where both common prefixes are long enough; each offset is settled for all entries of a bucket at
+once, never by pairs. All repeats are found here, byte by byte; hashes only deal and never decide.
+
+Hot grams. A gram with over ``bucket`` entries is dealt over as many buckets as it needs, merged in each, and of equal
+entries one goes on to meet those of the other buckets. Where over ``bucket`` different entries are left, each is cut in
+two by the offsets of its windows and dealt by the gram and all bytes that such windows have in common, so entries of
+different surroundings part and those within one passage become equal. That ends at single windows at the latest.
+
+Defined cases: null and empty texts, and texts shorter than ``length``, lose nothing; very long texts are taken in
+passes that overlap, so they lose what shorter ones would; repeated rows are copies of each other, so both lose all;
+of equal hashes the leftmost gram is the anchor; matches never cross documents; other columns pass unchanged through
+``drop_repeats``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, sheltered, stored, text_bytes, with_keys
+from .common import bounded_batches, forget, sheltered, stored, text_bytes, with_counts
 
 LENGTH, GRAM = 400, 64
 #: Bytes of one numpy pass; anchors hold their place in it in 20 bits.
 PASS = 1 << 20
-#: Suffixes of one bucket on average, and of one gram from which its windows are counted by fingerprint.
-BUCKET, CROWD = 5_000, 5_000
+#: Entries of one bucket on average, and of one gram above which it is dealt over several buckets.
+BUCKET = 5_000
 RUN_BYTES = 16 << 20
 NO_ID = 2**63 - 1
 _ODD = 0x5851F42D4C957F2D  # an odd multiplier; its powers are invertible modulo 2**64
@@ -83,7 +88,7 @@ def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors_of(text: bytes, hasher: Hasher, length: int = LENGTH, gram: int = GRAM) -> list[np.ndarray]:
-    """Columns h (gram), x (all bytes of the run), at (anchor), first and last window start."""
+    """Columns h (gram), at (anchor), first and last window start."""
     out = []
     whole = np.frombuffer(text, np.uint8)
     for start in range(0, max(0, len(whole) - length + 1), PASS - length + 1):
@@ -97,9 +102,8 @@ def anchors_of(text: bytes, hasher: Hasher, length: int = LENGTH, gram: int = GR
         first = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
         last = np.concatenate([first[1:] - 1, [len(least) - 1]])
         at = (least[first] & low).astype(np.int64)
-        x = mix(hasher.between(sums, first, last + length) ^ ((at - first).astype(np.uint64) << np.uint64(20)) ^ (last - first).astype(np.uint64))
-        out.append([grams[at].view(np.int64), x.view(np.int64), at + start, first + start, last + start])
-    return [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 5
+        out.append([grams[at].view(np.int64), at + start, first + start, last + start])
+    return [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -108,20 +112,20 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("__mark", F.xxhash64(text))
 
 
-def all_anchors(rows: DataFrame) -> DataFrame:
+def all_anchors(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
         for batch in batches:
             parts, sizes = [], []
             for text in batch["text"]:
-                parts.append(anchors_of(text_bytes(text), hasher))
+                parts.append(anchors_of(text_bytes(text), hasher, length, gram))
                 sizes.append(len(parts[-1][0]))
             columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else []
             if columns and len(columns[0]):
                 head = {n: np.repeat(batch[n].to_numpy(), sizes) for n in ("__id", "__mark")}
-                yield pd.DataFrame(head | dict(zip(("h", "x", "at", "first", "last"), columns, strict=True)))
+                yield pd.DataFrame(head | dict(zip(("h", "at", "first", "last"), columns, strict=True)))
 
-    return rows.mapInPandas(run, "__id long, __mark long, h long, x long, at int, first int, last int")
+    return rows.mapInPandas(run, "__id long, __mark long, h long, at int, first int, last int")
 
 
 # Front-coded runs ------------------------------------------------------------------------------------------
@@ -143,28 +147,33 @@ def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
 
 
 def write_run(items: list[tuple]) -> bytes:
-    """Sorted (suffix, left, numbers) as bytes: each suffix without the prefix that it shares with the one before."""
+    """Sorted (suffix, back, numbers) as bytes: each string without the prefix that it shares with the one before.
+
+    ``back`` is what stands before the anchor, nearest byte first.
+    """
     if not items:
         return bytes(16)
     items = sorted(items)
-    shared, heap, before = [], [], b""
-    for suffix, left, _ in items:
-        shared.append(common_prefix(before, suffix))
-        heap += [suffix[shared[-1] :], left]
-        before = suffix
-    head = np.array([[shared[k], len(heap[2 * k]), len(heap[2 * k + 1]), *items[k][2]] for k in range(len(items))], np.int64)
-    return np.array(head.shape, np.int64).tobytes() + head.tobytes() + b"".join(heap)
+    head, heap, before, behind = [], [], b"", b""
+    for suffix, back, numbers in items:
+        known, left = common_prefix(before, suffix), common_prefix(behind, back)
+        head.append([known, len(suffix) - known, left, len(back) - left, *numbers])
+        heap += [suffix[known:], back[left:]]
+        before, behind = suffix, back
+    table = np.array(head, np.int64)
+    return np.array(table.shape, np.int64).tobytes() + table.tobytes() + b"".join(heap)
 
 
 def read_run(run: bytes) -> Iterator[tuple[int, bytes, bytes, np.ndarray]]:
-    """(shared with the one before, suffix, left, numbers)."""
+    """(shared with the suffix before, suffix, back, numbers)."""
     n, width = np.frombuffer(run, np.int64, 2)
     head = np.frombuffer(run, np.int64, n * width, 16).reshape(n, width)
-    at, suffix = 16 + head.nbytes, b""
-    for row, (shared, more, left) in zip(head, head[:, :3].tolist(), strict=True):
-        suffix = suffix[:shared] + run[at : at + more]
-        yield shared, suffix, run[at + more : at + more + left], row[3:]
-        at += more + left
+    at, suffix, back = 16 + head.nbytes, b"", b""
+    for row, (known, more, left, further) in zip(head, head[:, :4].tolist(), strict=True):
+        suffix = suffix[:known] + run[at : at + more]
+        back = back[:left] + run[at + more : at + more + further]
+        yield known, suffix, back, row[4:]
+        at += more + further
 
 
 class LoserTree:
@@ -208,51 +217,78 @@ class LoserTree:
                 node //= 2
 
 
-def repeated_windows(shared: np.ndarray, lefts: list[bytes], numbers: np.ndarray, length: int = LENGTH) -> Iterator[tuple[np.ndarray, int]]:
-    """(suffix indices, offset): windows that start ``offset`` before the anchor and stand in another suffix too.
+def ranks(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the strings, and what each shares with the one before it in that order."""
+    order = sorted(range(len(strings)), key=strings.__getitem__)
+    shared, before = np.zeros(len(strings), np.int64), b""
+    for k, i in enumerate(order):
+        shared[k] = common_prefix(before, strings[i])
+        before = strings[i]
+    return np.array(order, np.int64), shared
+
+
+def repeated_windows(shared: np.ndarray, backs: list[bytes], numbers: np.ndarray, length: int = LENGTH) -> Iterator[tuple[np.ndarray, int]]:
+    """(entries, offset): windows that start ``offset`` before the anchor and stand in another entry too.
 
     ``shared`` are the common prefixes of the sorted suffixes with the one before; ``numbers`` are (least offset,
-    largest offset) of each suffix's windows.
+    largest offset) of each entry's windows.
     """
-    n, widest = len(lefts), int(numbers[:, 1].max(initial=0))
-    grid = np.zeros((n, widest), np.uint8)  # bytes before the anchor, nearest first
-    for k, left in enumerate(lefts):
-        grid[k, : len(left)] = np.frombuffer(left, np.uint8)[::-1]
-    salt = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64)
-    left = np.zeros(n, np.uint64)
-    for offset in range(widest + 1):
-        if offset:
-            left = mix(left + salt[grid[:, offset - 1]])
+    n = len(backs)
+    order, before = ranks(backs)
+    block = np.empty(n, np.int64)
+    for offset in range(int(numbers[:, 0].min(initial=0)), int(numbers[:, 1].max(initial=-1)) + 1):
         has = np.flatnonzero((numbers[:, 0] <= offset) & (offset <= numbers[:, 1]))
         if len(has) < 2:
             continue
-        block = np.cumsum(shared < length - offset)[has].astype(np.uint64)  # equal right-hand sides are one block
-        key = mix(left[has] + block * np.uint64(0x9E3779B97F4A7C15))
-        order = np.argsort(key, kind="stable")
-        same = key[order][1:] == key[order][:-1]
+        block[order] = np.cumsum(before < offset)  # equal bytes before the anchor are one block
+        key = block[has] * (n + 1) + np.cumsum(shared < length - offset)[has]  # so are equal suffixes
+        sorting = np.argsort(key, kind="stable")
+        same = key[sorting][1:] == key[sorting][:-1]
         twice = np.zeros(len(has), bool)
-        twice[order[1:]] |= same
-        twice[order[:-1]] |= same
-        yield has[twice], offset
+        twice[sorting[1:]] |= same
+        twice[sorting[:-1]] |= same
+        if twice.any():
+            yield has[twice], offset
 
 
 # The operator ----------------------------------------------------------------------------------------------
 
+SPAN = "__id long, __mark long, start int, end int"
+#: An entry: the bytes from its anchor on and before it, its place, the least and largest offset of its windows.
+ENTRY = "key long, suffix binary, back binary, __id long, __mark long, at int, low int, high int"
+PLACE = ("key", "__id", "__mark", "at", "low", "high")
+
 
-def _cut(batch: pd.DataFrame) -> Iterator[tuple]:
-    """(suffix, left, (gram, id, mark, anchor, least and largest offset)) of each suffix wanted from a batch of texts."""
+def _cut(batch: pd.DataFrame, length: int) -> Iterator[tuple]:
+    """(suffix, back, numbers, n) of each entry wanted from a batch of texts; n entries have its gram."""
     for i, mark, text, wanted in zip(batch["__id"], batch["__mark"], batch["text"], batch["wanted"], strict=True):
         s = text_bytes(text)
         for w in wanted:
             at, first, last = w["at"], w["first"], w["last"]
-            yield s[at : last + LENGTH], s[first:at], (w["h"], i, mark, at, at - last, at - first)
+            yield s[at : last + length], s[first:at][::-1], (w["h"], i, mark, at, at - last, at - first), w["n"]
 
 
-def _spans(ids: np.ndarray, marks: np.ndarray, at: np.ndarray, found: Iterator[tuple[np.ndarray, int]], length: int = LENGTH) -> pd.DataFrame:
+def _given(batch: pd.DataFrame) -> Iterator[tuple]:
+    """The same of a batch of written entries."""
+    yield from zip(batch["suffix"], batch["back"], zip(*(batch[c] for c in PLACE), strict=True), batch["n"], strict=True)
+
+
+def _halves(suffix: bytes, back: bytes, numbers: tuple, width: int, length: int) -> Iterator[tuple]:
+    """An entry's windows by cells of ``width`` offsets, each dealt by the bytes that all windows of its cell hold."""
+    key, i, mark, at, low, high = numbers
+    for cell in range(low // width, high // width + 1):
+        least, most = max(low, cell * width), min(high, (cell + 1) * width - 1)
+        core = b"%d %d %d " % (key, cell, width) + back[: cell * width] + b" " + suffix[: length - (cell + 1) * width + 1]
+        dealt = int.from_bytes(hashlib.blake2b(core, digest_size=8).digest(), "little", signed=True)
+        yield suffix[: length - least], back[:most], (dealt, i, mark, at, least, most)
+
+
+def _spans(numbers: np.ndarray, found: Iterator[tuple[np.ndarray, int]], length: int = LENGTH) -> pd.DataFrame:
+    """Runs of the windows found. ``numbers``: a row (key, id, mark, anchor, least, largest offset) for each entry."""
     which, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for rows, offset in found:
         which.append(rows)
-        starts.append(at[rows] - offset)
+        starts.append(numbers[rows, 3] - offset)
     k, start = np.concatenate(which), np.concatenate(starts)
     order = np.lexsort((start, k))
     k, start = k[order], start[order]
@@ -260,22 +296,23 @@ def _spans(ids: np.ndarray, marks: np.ndarray, at: np.ndarray, found: Iterator[t
     new[1:] = (k[1:] != k[:-1]) | (start[1:] != start[:-1] + 1)
     heads = np.flatnonzero(new)
     ends = np.append(heads[1:], len(k)) - 1 if len(k) else heads
-    return pd.DataFrame({"__id": ids[k[heads]], "__mark": marks[k[heads]], "start": start[heads].astype(np.int32), "end": (start[ends] + length).astype(np.int32)})
+    return pd.DataFrame({"__id": numbers[k[heads], 1], "__mark": numbers[k[heads], 2], "start": start[heads].astype(np.int32), "end": (start[ends] + length).astype(np.int32)})
 
 
-SPAN = "__id long, __mark long, start int, end int"
-
-
-def _sorted_spans(cut: DataFrame, buckets: int) -> DataFrame:
-    """Exchange of front-coded runs, and their merge by bucket."""
+def _merged(entries: DataFrame, read: Callable[[pd.DataFrame], Iterator[tuple]], n: int, length: int, bucket: int) -> DataFrame:
+    """Exchange of front-coded runs, and their merge by bucket: rows of SPAN, and of ENTRY (start -1) for keys dealt over several."""
+    buckets = max(1, -(-n // bucket))
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: dict[int, list] = {}
         size = 0
         for batch in batches:
-            for item in _cut(batch):
-                waiting.setdefault(item[2][0] % buckets, []).append(item)
-                size += len(item[0]) + len(item[1]) + 200
+            for suffix, back, numbers, many in read(batch):
+                key, i, mark, at = numbers[:4]
+                salts = -(-int(many) // bucket)
+                salt = hash((int(i), int(mark), int(at))) % salts
+                waiting.setdefault(hash((int(key), salt)) % buckets, []).append((suffix, back, (*numbers, int(salts > 1))))
+                size += len(suffix) + len(back) + 300
                 if size > RUN_BYTES:
                     yield pd.DataFrame({"bucket": list(waiting), "run": [write_run(x) for x in waiting.values()]})
                     waiting, size = {}, 0
@@ -283,60 +320,66 @@ def _sorted_spans(cut: DataFrame, buckets: int) -> DataFrame:
             yield pd.DataFrame({"bucket": list(waiting), "run": [write_run(x) for x in waiting.values()]})
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
-        shared, lefts, numbers = [], [], []
-        for known, (_, _, left, row) in LoserTree(read_run(r) for r in group["run"]):
+        shared, backs, numbers, onward = [], [], [], []
+        seen, before = set(), None
+        for known, (_, suffix, back, row) in LoserTree(read_run(r) for r in group["run"]):
             shared.append(known)
-            lefts.append(left)
+            backs.append(back)
             numbers.append(row)
-        n = np.array(numbers, np.int64).reshape(len(lefts), -1)
-        return _spans(n[:, 1], n[:, 2], n[:, 3], repeated_windows(np.array(shared), lefts, n[:, 4:6]))
-
-    return cut.mapInPandas(runs, "bucket long, run binary").groupBy("bucket").applyInPandas(merge, SPAN)
-
-
-def _counted_spans(cut: DataFrame) -> DataFrame:
-    """The same for grams in very many surroundings: each window's fingerprint, counted."""
-
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        one, two = Hasher(1), Hasher(2)
-        for batch in batches:
-            for suffix, left, (_, i, mark, at, _, largest) in _cut(batch):
-                s = np.frombuffer(left + suffix, np.uint8)
-                k = np.arange(len(s) - LENGTH + 1)
-                a, b = (x.between(x.prefixes(s), k, k + LENGTH).view(np.int64) for x in (one, two))
-                yield pd.DataFrame({"__id": i, "__mark": mark, "start": (at - largest + k).astype(np.int32), "a": a, "b": b})
-
-    each = stored(cut.mapInPandas(windows, "__id long, __mark long, start int, a long, b long"), "windows")
-    twice = each.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
-    return each.join(twice, ["a", "b"], "left_semi").select("__id", "__mark", "start", (F.col("start") + LENGTH).alias("end"))
-
-
-def repeated_spans(rows: DataFrame) -> DataFrame:
+            if row[6]:
+                if suffix != before:
+                    seen, before = set(), suffix
+                kind = (back, int(row[0]), int(row[4]), int(row[5]))
+                if kind not in seen:
+                    seen.add(kind)
+                    onward.append((suffix, back, *row[:6].tolist()))
+        table = np.array(numbers, np.int64).reshape(len(backs), 7)
+        spans = _spans(table, repeated_windows(np.array(shared, np.int64), backs, table[:, 4:6], length), length)
+        none = np.zeros(len(spans), np.int64)
+        spans = spans.assign(key=none, suffix=[b""] * len(spans), back=[b""] * len(spans), at=none, low=none, high=none)
+        rest = pd.DataFrame(onward, columns=["suffix", "back", *PLACE]).assign(start=-1, end=-1)
+        return pd.concat([spans, rest[spans.columns]]) if len(rest) else spans
+
+    schema = f"{SPAN}, key long, suffix binary, back binary, at int, low int, high int"
+    return entries.mapInPandas(runs, "bucket long, run binary").groupBy("bucket").applyInPandas(merge, schema)
+
+
+def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
     """(__id, __mark, start, end) of all repeated windows, in runs that may overlap. ``rows``: __id, __mark, text."""
-    bounded_batches(rows.sparkSession)
-    every = stored(all_anchors(rows), "anchors")
-    total = every.count()
+    if bucket < 2:
+        raise ValueError("a bucket of one entry cannot tell a repeat")
+    spark = rows.sparkSession
+    bounded_batches(spark)
+    every = stored(all_anchors(rows, length, gram), "anchors")
     twice = stored(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "grams")
-    every = stored(with_keys(every, twice, ["h"], total), "shared_anchors")
-    place = F.struct("__id", "__mark", "at", "first", "last")
-    classes = stored(every.groupBy("h", "x").agg(F.count("*").alias("n"), F.min(place).alias("one")), "classes")
-    whole = with_keys(every, classes.where("n > 1"), ["h", "x"], total)
-    whole = whole.select("__id", "__mark", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end"))
-    mixed = classes.groupBy("h").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
-    wanted = stored(classes.join(mixed, "h").select("h", "kinds", "one.*"), "suffixes")
-    n = wanted.count()
-
-    def cut(some: DataFrame) -> DataFrame:
-        by_text = some.groupBy("__id", "__mark").agg(F.collect_list(F.struct("h", "at", "first", "last")).alias("wanted"))
-        return rows.join(by_text, ["__id", "__mark"])
-
-    spans = whole
-    if n:
-        spans = spans.union(_sorted_spans(cut(wanted.where(F.col("kinds") <= CROWD)), max(1, -(-n // BUCKET))))
-        crowded = wanted.where(F.col("kinds") > CROWD)
-        if not crowded.isEmpty():
-            spans = spans.union(_counted_spans(cut(crowded)))
-    return spans
+    shared = stored(with_counts(every, twice, "h", every.count()), "shared_anchors")
+    forget(every, twice)
+    total, most = shared.agg(F.count("*"), F.coalesce(F.max("n"), F.lit(0))).head()
+    if not total:
+        return spark.createDataFrame([], SPAN)
+    wanted = shared.groupBy("__id", "__mark").agg(F.collect_set(F.struct("h", "at", "first", "last", "n")).alias("wanted"))
+    met = _merged(rows.join(wanted, ["__id", "__mark"]), lambda batch: _cut(batch, length), total, length, bucket)
+    columns = ["__id", "__mark", "start", "end"]
+    if most <= bucket:
+        return met.select(columns)
+    spans, width = [], length - gram + 1
+    while True:
+        met = stored(met, "merged")
+        spans.append(met.where("start >= 0").select(columns))
+        rest = met.where("start < 0").select([c.split()[0] for c in ENTRY.split(", ")])
+        left = rest.count()
+        if not left:
+            return reduce(DataFrame.union, spans)
+        width = -(-width // 2)
+        counted = rest.groupBy("key").agg(F.count("*").alias("n"))
+        rest = with_counts(rest, counted, "key", left)
+        many = rest.where(F.col("n") > bucket).mapInPandas(lambda batches, w=width: (
+            pd.DataFrame([(s, b, *p) for suffix, back, place, _ in _given(batch) for s, b, p in _halves(suffix, back, place, w, length)], columns=["suffix", "back", *PLACE])[[c.split()[0] for c in ENTRY.split(", ")]]
+            for batch in batches), ENTRY)
+        entries = stored(rest.where(F.col("n") <= bucket).drop("n").union(many), "entries")
+        left = entries.count()
+        counted = entries.groupBy("key").agg(F.count("*").alias("n"))
+        met = _merged(with_counts(entries, counted, "key", left), _given, left, length, bucket)
 
 
 def kept_pieces(text: bytes, spans: Iterable) -> tuple[list[bytes], int, int]:
@@ -351,15 +394,15 @@ def kept_pieces(text: bytes, spans: Iterable) -> tuple[list[bytes], int, int]:
     return [*pieces, text[at:]], removed, runs
 
 
-def _with_spans(docs: DataFrame) -> DataFrame:
+def _with_spans(docs: DataFrame, length: int, gram: int, bucket: int = BUCKET) -> DataFrame:
     rows = keyed(docs)
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    spans = repeated_spans(rows.select("__id", "__mark", text))
+    spans = repeated_spans(rows.select("__id", "__mark", text), length, gram, bucket)
     each = spans.groupBy("__id", "__mark").agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
     return rows.join(each, ["__id", "__mark"], "left")
 
 
-def removed_bytes(docs: DataFrame) -> DataFrame:
+def removed_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -372,12 +415,12 @@ def removed_bytes(docs: DataFrame) -> DataFrame:
             found.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield found
 
-    rows = _with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    rows = _with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), length, gram, bucket)
     return rows.select("doc_id", "text", "__spans").mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def drop_repeats(docs: DataFrame, least: int = 1) -> DataFrame:
-    """The rows with the repeated bytes cut out of their texts; texts of which under ``least`` bytes stay go.
+def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, least: int = 1) -> DataFrame:
+    """The rows with the bytes of strings of ``length`` that repeat cut out of their texts; texts of which under ``least`` bytes stay go.
 
     A cut inside a character drops the rest of that character too.
     """
@@ -395,4 +438,4 @@ def drop_repeats(docs: DataFrame, least: int = 1) -> DataFrame:
                 yield out
 
     rows = sheltered(docs)
-    return _with_spans(rows).select(*rows.columns, "__spans").mapInPandas(run, rows.schema).toDF(*docs.columns)
+    return _with_spans(rows, length, gram).select(*rows.columns, "__spans").mapInPandas(run, rows.schema).toDF(*docs.columns)

@@ -110,10 +110,9 @@ def test_repeats(spark, docs):
     assert got(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want(brute.repeats(pairs(docs)))
 
 
-@pytest.mark.parametrize("crowd", [5_000, 1])
-def test_repeats_of_borders(spark, monkeypatch, crowd):
-    """Copied passages in different surroundings, at any place, in themselves, and with one byte changed."""
-    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+@pytest.mark.parametrize(("length", "gram", "bucket"), [(400, 64, 5_000), (400, 64, 6), (200, 48, 5_000), (200, 64, 12)])
+def test_repeats_of_borders(spark, length, gram, bucket):
+    """Copied passages in different surroundings, at any place, in themselves, and with one byte changed; small buckets make every gram hot."""
     rng = random.Random(7)
     make = lambda n: "".join(rng.choices("abcdefgh é\n", k=n))
     shared = [make(n) for n in (399, 400, 401, 470, 800, 1500)]
@@ -128,13 +127,23 @@ def test_repeats_of_borders(spark, monkeypatch, crowd):
     texts += [make(50) * 20, "z" * 1000, "z" * 700 + make(30)]
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert got(suffix_dedup.removed_bytes(df), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want(brute.repeats(rows))
+    assert got(suffix_dedup.removed_bytes(df, length, gram, bucket), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want(brute.repeats(rows, length))
+
+
+def test_repeats_of_a_hot_passage(spark):
+    """One passage in many surroundings, and many copies of one text without ids: buckets stay small, nothing is lost."""
+    rng = random.Random(11)
+    make = lambda n: "".join(rng.choices("abcdefgh é\n", k=n))
+    passage, text = make(700), make(900)
+    rows = [(k, make(rng.randrange(200)) + passage + make(rng.randrange(200))) for k in range(80)] + [(None, text)] * 60
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert got(suffix_dedup.removed_bytes(df, bucket=16), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want(brute.repeats(rows))
 
 
 def test_repeats_across_passes(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PASS", 1 << 20)
     hasher, text = suffix_dedup.Hasher(), random.Random(3).randbytes((1 << 20) + 5_000)
-    h, x, at, first, last = suffix_dedup.anchors_of(text, hasher)
+    h, at, first, last = suffix_dedup.anchors_of(text, hasher)
     covered = np.zeros(len(text) - 399, int)
     for a, b in zip(first, last, strict=True):
         covered[a : b + 1] += 1
