@@ -11,7 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch: long texts must not pile up in a worker.
-BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+#: Bytes of what a worker remembers in one place, by estimate, and the longest key that is worth it.
+MEMO_BYTES, LONG_KEY = 48 << 20, 1_024
+
+
+class Memo(dict):
+    """What a worker has met before. It is emptied when it would take more than ``most`` bytes."""
+
+    def __init__(self, most: int = MEMO_BYTES):
+        super().__init__()
+        self.most, self.held = most, 0
+
+    def room(self, size: int) -> bool:
+        """Count ``size`` bytes more; whether the memo was emptied for them."""
+        full = self.held + size > self.most
+        if full:
+            self.clear()
+            self.held = 0
+        self.held += size
+        return full
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

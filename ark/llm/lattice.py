@@ -8,11 +8,12 @@ found from the last tokens of shorter prefixes, and a text's encoding is the one
 from __future__ import annotations
 
 from collections.abc import Callable, Hashable, Iterable, Iterator
+from itertools import chain
 
 import ahocorasick
 
-#: Entries that a worker's memo may hold before it is emptied.
-MEMO = 400_000
+from .common import Memo
+
 
 
 class Lattice:
@@ -24,7 +25,7 @@ class Lattice:
     def __init__(self, tokens: set, rank: Callable[[Hashable, Hashable], float | None]):
         self.tokens, self.rank = tokens, rank
         self.longest = max(map(len, tokens), default=1)
-        self._joins: dict = {}
+        self._joins = Memo()
         self._automaton = ahocorasick.Automaton()
         for t in tokens:
             self._automaton.add_word(t if isinstance(t, str) else t.decode("latin-1"), t)
@@ -48,8 +49,7 @@ class Lattice:
         """May ``right`` follow ``left``?"""
         key = (left, right)
         if (known := self._joins.get(key)) is None:
-            if len(self._joins) >= MEMO:
-                self._joins.clear()
+            self._joins.room(240 + 2 * (len(left) + len(right)))
             known = self._joins[key] = self.merge(left + right) == [left, right]
         return known
 
@@ -100,6 +100,33 @@ class Lattice:
                 due += 1
             yield last, count
 
+    def places(self, text) -> Iterator[int]:
+        """The number of tokens of every prefix, from the empty one on. Of a very long text no more places are held
+        than a token can reach back to."""
+        last, count, base, due = [text[:0]], [0], 0, 1  # of the places from base on
+        yield 0
+        for at, token in chain(self._automaton.iter(text if isinstance(text, str) else text.decode("latin-1")), [(len(text), None)]):
+            if at + 1 < due:
+                continue
+            while due <= at:
+                last.append(text[due - 1 : due])
+                count.append(count[due - 1 - base] + 1)
+                yield count[-1]
+                due += 1
+            if token is None:
+                return
+            before = due - len(token)
+            if before and not self.joins(last[before - base], token):
+                continue
+            last.append(token)
+            count.append(count[before - base] + 1)
+            yield count[-1]
+            due += 1
+            if len(last) > 2 * self.longest + 4_096:
+                gone = len(last) - self.longest - 1
+                del last[:gone], count[:gone]
+                base += gone
+
     def encode(self, text) -> list:
         return self.back(self.forward(text)[0])
 

@@ -30,14 +30,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, sheltered, stored
-from .lattice import MEMO, Lattice
+from .common import Memo, bounded_batches, sheltered, stored
+from .lattice import Lattice
 
 MARK = "▁"
 #: Characters of a chunk, and of a document from which it is cut into chunks.
 CHUNK, GIANT = 16_384, 49_152
 #: Characters of texts whose units are worked out together.
-GROUP = 4 << 20
+GROUP = 1 << 20
 NONE = -(1 << 40)
 #: Chunks whose matrices are multiplied in one task; a document's products are as few as its chunks by this.
 FAN = 64
@@ -84,7 +84,7 @@ class Pieces:
             self.bytes_of[k] = p.replace(MARK, " ").encode()
         for b, k in self.byte_ids.items():
             self.bytes_of[k] = bytes([b])
-        self.units: dict[str, tuple[int, ...]] = {}  # ids of each unit met so far
+        self.units = Memo()  # ids of each unit met so far
 
     def marked(self, text: str) -> str:
         """The text as the model reads it: a mark in front and for each space."""
@@ -101,8 +101,7 @@ class Pieces:
         """Encode the units not met before, in sorted order: each starts from the prefix it shares with the one before."""
         known, id_of = self.units, self.ids.get
         new = {u for u in units if u not in known}
-        if len(known) + len(new) > MEMO:
-            known.clear()
+        if known.room(sum(200 + 10 * len(u) for u in new)):
             new = set(units)
         order = sorted(new)
         for unit, (last, _) in zip(order, self.lattice.forward_each(order), strict=True):

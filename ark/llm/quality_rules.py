@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents_only, map_batches, sheltered, text_bytes
+from .common import LONG_KEY, Memo, bounded_batches, documents_only, map_batches, sheltered, text_bytes
 
 BUCKETS = 1 << 16
 #: Mean log ratio per n-gram from which a text is kept.
@@ -36,13 +36,14 @@ SYMBOLS = b"#*$%&|<>"
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 
 
-class Buckets(dict):
+class Buckets(Memo):
     """Hash of each word, kept for the next time; bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
-            self.clear()
-        found = self[word] = zlib.crc32(word)
+        found = zlib.crc32(word)
+        if len(word) < LONG_KEY:
+            self.room(200 + len(word))
+            self[word] = found
         return found
 
 

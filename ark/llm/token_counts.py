@@ -10,6 +10,8 @@ other columns of the input are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import json
+from array import array
+from collections import deque
 from functools import lru_cache
 from itertools import accumulate
 
@@ -17,8 +19,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from .common import documents_only, map_batches, text_bytes
-from .lattice import MEMO, Lattice
+from .common import LONG_KEY, Memo, documents_only, map_batches, text_bytes
+from .lattice import Lattice
 
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -31,7 +33,7 @@ def byte_characters() -> dict[str, int]:
 
 
 #: Characters of texts whose pieces are worked out together.
-GROUP = 4 << 20
+GROUP = 1 << 20
 
 
 class PrefixCounter:
@@ -39,6 +41,10 @@ class PrefixCounter:
 
     def __init__(self, tokenizer_json: str):
         spec = json.loads(tokenizer_json)
+        before, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        kept = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+        if spec.get("normalizer") or model.get("type") != "BPE" or any(model.get(k) for k in kept) or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+            raise ValueError("a byte-level BPE tokenizer without normalizer or prefix space is needed")
         as_byte = byte_characters()
         raw = lambda token: bytes(as_byte[c] for c in token)
         ranks = {}
@@ -51,19 +57,23 @@ class PrefixCounter:
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         self._split = regex.compile(SPLIT)
         self._space = regex.compile(r"\s+")
-        self._counts: dict[str, int] = {}
+        self._counts = Memo()  # of each piece met so far: the token counts of all its prefixes, by bytes
 
-    def _each(self, pieces: list[str]) -> list[int]:
-        """Token counts of pieces; those not met before are worked out in sorted order, each from the prefix it shares."""
+    def _learn(self, pieces: list[str]) -> None:
+        """Prefix counts of pieces; those not met before are worked out in sorted order, each from the prefix it shares."""
         known = self._counts
-        new = {p for p in pieces if p not in known}
+        new = {p for p in pieces if p not in known and len(p) < LONG_KEY}
         if new:
-            if len(known) + len(new) > MEMO:
-                known.clear()
-                new = set(pieces)
+            if known.room(sum(240 + 3 * len(p) for p in new)):
+                new = {p for p in pieces if len(p) < LONG_KEY}
             order = sorted(p.encode() for p in new)
-            known.update((p.decode(), c[-1]) for p, (_, c) in zip(order, self.lattice.forward_each(order), strict=True))
-        return [known[p] for p in pieces]
+            known.update((p.decode(), bytes(c) if c[-1] < 256 else array("H", c)) for p, (_, c) in zip(order, self.lattice.forward_each(order), strict=True))
+
+    def _each(self, pieces: list[str]) -> list[int]:
+        """Token counts of pieces; of a very long one nothing is kept."""
+        self._learn(pieces)
+        known = self._counts
+        return [known[p][-1] if p in known else deque(self.lattice.places(p.encode()), 1)[0] for p in pieces]
 
     def counts(self, texts: list[str]) -> list[int]:
         """Tokens of each whole text: the last of its prefix counts. Texts are taken in groups of some ``GROUP`` characters."""
@@ -88,11 +98,15 @@ class PrefixCounter:
         return self.counts([text])[0]
 
     def _within(self, piece: str) -> list[int]:
-        """Counts of the piece's own prefixes, by characters."""
-        counts, at, out = self.lattice.forward(piece.encode())[1], 0, []
-        for c in piece:
-            at += len(c.encode())
-            out.append(counts[at])
+        """Counts of the piece's own prefixes, by characters, from those that are stored."""
+        self._learn([piece])
+        counts, out = self._counts.get(piece) or self.lattice.places(piece.encode()), []
+        ends = accumulate(len(c.encode()) for c in piece)
+        end = next(ends, None)
+        for at, n in enumerate(counts):
+            if at == end:
+                out.append(n)
+                end = next(ends, None)
         return out
 
     def _plain(self, text: str) -> list[int]:
@@ -131,7 +145,8 @@ class PrefixCounter:
                 k = max(0, next(i for i, s in enumerate([*sums, limit + 1]) if s > limit) - 2)  # a piece earlier, for split white space
                 start = at + sum(map(len, pieces[:k]))
                 upto = at + sum(map(len, pieces[: k + 3]))
-                rows = self._plain(text[start : max(upto, min(mark.end() - 1, len(text)) if mark and k + 3 >= len(pieces) else upto)])
+                upto = max(upto, min(mark.end() - 1, len(text)) if mark and k + 3 >= len(pieces) else upto)
+                rows = self._plain(text[start : min(upto, start + (limit - sums[k] + 4) * self.lattice.longest)])  # no token is longer
                 return start + max(j for j, c in enumerate(rows) if sums[k] + c <= limit)
             base, at = sums[-1] + (mark is not None), mark.end() if mark else end
         return len(text)

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents_only, fold_of, map_batches, stored
+from .common import LONG_KEY, Memo, documents_only, fold_of, map_batches, stored
 
 #: Documents to learn from, at most: those of the smallest hashes.
 POSITIVES, UNLABELLED = 4_000, 8_000
@@ -53,17 +53,18 @@ class Classifier:
     weights: np.ndarray  # of each bucket
     bias: float
 
-    def scores(self, texts: list[object], known: dict[str, list[int]]) -> list[float]:
-        """``known`` keeps the weighted buckets of words seen before, bounded."""
+    def scores(self, texts: list[object], known: Memo) -> list[float]:
+        """``known`` keeps the weighted buckets of words seen before."""
         out = []
         for text in texts:
             present: set[int] = set()
             for w in words_of(text):
                 weighted = known.get(w)
                 if weighted is None:
-                    if len(known) >= 500_000:
-                        known.clear()
-                    weighted = known[w] = [b for b in buckets_of(w) if self.weights[b]]
+                    weighted = [b for b in buckets_of(w) if self.weights[b]]
+                    if len(w) < LONG_KEY:
+                        known.room(240 + 2 * len(w))
+                        known[w] = weighted
                 if weighted:
                     present.update(weighted)
             total = self.bias + sum(float(self.weights[b]) for b in sorted(present))
@@ -153,7 +154,7 @@ def score(docs: DataFrame, classifier: Classifier, cut: float = CUT) -> DataFram
     """Per document: doc_id, held_out, score, predicted."""
 
     def make():
-        known: dict[str, list[int]] = {}
+        known = Memo()
 
         def step(batch: pd.DataFrame) -> pd.DataFrame:
             scores = np.array(classifier.scores(list(batch["text"]), known))

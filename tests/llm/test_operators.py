@@ -318,6 +318,21 @@ def test_prefix_counts_equal_the_library(counter, library):
         assert counter.longest_prefix(text, limit) == max(k for k, n in enumerate(each) if n <= limit)
 
 
+def test_a_giant_word_takes_little_memory(counter, library):
+    """A hundred thousand letters without a break: exact, and no list of all its places is held."""
+    import tracemalloc
+
+    word = "".join(random.Random(5).choices("etaoinshrdlu", k=8_000))
+    assert counter.counts([word]) == [len(library.encode(word, add_special_tokens=False).ids)]
+    long = "ab" * 50_000
+    tracemalloc.start()
+    n, cut = counter.count(long), counter.longest_prefix(long, 1024)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counter.prefixes(long[: cut + 1])[-2:] == [1024, 1025] and n > 1024
+    assert peak < 8 << 20 and len(counter._counts) < 100_000
+
+
 def test_token_counts(spark, docs, none, library):
     path = tokenizer("byte_bpe_50k.json")
     for d in (docs, real(spark, "documents")):

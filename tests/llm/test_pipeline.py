@@ -33,16 +33,16 @@ def plain(spark):
     ratio = np.log((target + 1) / (target.sum() + len(raw))) - np.log((raw + 1) / (raw.sum() + len(raw)))
     docs = {i: t for i, t in docs.items() if not brute.base_rules(t)[-1] and ratio[buckets[i]].mean() >= quality_rules.THRESHOLD}
     docs = {i: docs[i] for i, _, least in brute.components(list(docs.items())) if i == least}
-    seen, gone = {}, {}
+    seen, gone, span = {}, {}, corpus_pipeline.PASSAGE
     texts = {i: t.encode() for i, t in docs.items()}
     for s in texts.values():
-        for k in range(len(s) - 399):
-            seen[s[k : k + 400]] = seen.get(s[k : k + 400], 0) + 1
+        for k in range(len(s) - span + 1):
+            seen[s[k : k + span]] = seen.get(s[k : k + span], 0) + 1
     for i, s in texts.items():
         gone[i] = bytearray(len(s))
-        for k in range(len(s) - 399):
-            if seen[s[k : k + 400]] > 1:
-                gone[i][k : k + 400] = b"\1" * 400
+        for k in range(len(s) - span + 1):
+            if seen[s[k : k + span]] > 1:
+                gone[i][k : k + span] = b"\1" * span
     docs = {i: bytes(b for b, g in zip(s, gone[i], strict=True) if not g).decode("utf-8", "ignore") for i, s in texts.items()}
     docs = {i: t for i, t in docs.items() if t}
     items = [(r.item_id, r.text) for r in read("benchmark").collect()]
