@@ -4,13 +4,17 @@ Language, source and size are quantised to 16 steps each. Documents are ordered
 curve through these 4,096 cells and the order is cut into runs of equal length (law ``rows``: counts differ
 by one at most), so each shard spans few languages, sources and sizes, and its manifest row prunes it.
 
+Equal texts (by a 64-bit hash and size) form a group: a group stands in one cell, that of its least language and
+source steps, and its rows follow each other, so it is cut at the ends of shards only, where the law asks for it.
+
 Ranks come without one global sort: a cell is dealt over hash parts, each (cell, part) is numbered by itself,
 and the numbers are shifted by the sums of what stands before. A source or a language with a third of all rows
-is spread over all parts of its cells; the number of parts grows with the table.
+is spread over all parts of its cells; the number of parts grows with the table. A group with over a thousandth of
+all rows is a part of its own, dealt over ``SALTS`` further ones by id.
 
 Defined cases: a null text has size 16 and crc 0; null language and source have steps of their own; very long
-texts share the last step of size; repeated rows get a slot each; other columns are ignored, or carried
-unchanged by ``write_shards``; an empty table gives an empty result.
+texts share the last step of size; repeated rows get a slot each, next to each other; other columns are ignored, or
+carried unchanged by ``write_shards``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from .common import stored
 SHARDS, BITS, OVERHEAD = 40, 4, 16
 #: Rows that one (cell, part) may hold on average if all documents were of one cell.
 PART_ROWS = 1_000_000
+#: Parts of a group that holds over a thousandth of all rows.
+SALTS = 1_024
 
 
 def hilbert_table(dimensions: int = 3) -> tuple[list[int], list[int]]:
@@ -79,21 +85,34 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, carry: bool = False)
     text = F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")
     rows = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.xxhash64(text, F.octet_length(text)).alias("mix"),
         name_step(docs["lang"]).alias("lang_step"), name_step(docs["source"]).alias("source_step"), *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []))
-    rows = rows.withColumn("size_step", size_step(F.col("size"))).withColumn("mix", F.xxhash64("doc_id", "text_crc32"))
-    rows = rows.withColumn("cell", hilbert_index([F.col("lang_step"), F.col("source_step"), F.col("size_step")]))
-    rows = stored(rows, "cells")
+    rows = rows.withColumn("size_step", size_step(F.col("size")))
+    rows = stored(rows, "steps")
     total = rows.count()
+    steps = F.struct("lang_step", "source_step")
+    groups = rows.groupBy("mix").agg(F.count("*").alias("n"), F.min(steps).alias("least"), F.max(steps).alias("most"))
+    groups = stored(groups.where("n > 1").select("mix", "n", "least", (F.col("least") != F.col("most")).alias("spread")), "groups")
+    large = F.broadcast(groups.where(F.col("n") > total / 1000).select("mix", "least", F.lit(1).alias("large")))  # a thousand at most
+    spread = groups.where((F.col("n") <= total / 1000) & F.col("spread")).select("mix", F.col("least").alias("other"))
+    marked = rows.join(large, "mix", "left")
+    few = marked.where("large is null").drop("least").join(spread.withColumnRenamed("other", "least"), "mix", "left")
+    rows = marked.where("large is not null").unionByName(few)
+    own = F.coalesce("least", F.struct("lang_step", "source_step"))
+    rows = rows.withColumn("cell", hilbert_index([own["lang_step"], own["source_step"], F.col("size_step")])).drop("least")
     parts = max(6, math.ceil(math.log2(max(1, total / PART_ROWS))))
-    rows = rows.withColumn("part", F.shiftrightunsigned("mix", 64 - parts))
-    counts = stored(rows.groupBy("cell", "part").agg(F.count("*").alias("n")), "counts")
+    alone = F.col("large").isNotNull()
+    rows = rows.withColumn("part", F.shiftrightunsigned("mix", 64 - parts)).withColumn("of", F.when(alone, F.col("mix"))).withColumn("salt", F.when(alone, F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0)).drop("large")
+    rows = stored(rows.withColumn("of", F.coalesce("of", F.lit(0))), "cells")
+    counts = stored(rows.groupBy("cell", "part", "of", "salt").agg(F.count("*").alias("n")), "counts")
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cells = counts.groupBy("cell").agg(F.sum("n").alias("n"))  # 4,096 rows at most
     cells = cells.select("cell", before(Window.orderBy("cell")).alias("of_cell"))
-    starts = counts.select("cell", "part", before(Window.partitionBy("cell").orderBy("part")).alias("of_part")).join(cells, "cell")
-    starts = starts.select("cell", "part", (F.col("of_cell") + F.col("of_part")).alias("start"))
-    within = Window.partitionBy("cell", "part").orderBy("mix", "doc_id", "text_crc32", "size")
-    ranked = rows.withColumn("k", F.row_number().over(within) - 1).join(starts, ["cell", "part"]).withColumn("rank", F.col("start") + F.col("k"))
+    keys = ["cell", "part", "of", "salt"]
+    starts = counts.select(*keys, before(Window.partitionBy("cell").orderBy("part", "of", "salt")).alias("of_part")).join(cells, "cell")
+    starts = starts.select(*keys, (F.col("of_cell") + F.col("of_part")).alias("start"))
+    within = Window.partitionBy(*keys).orderBy("mix", "doc_id", "text_crc32", "size")
+    ranked = rows.withColumn("k", F.row_number().over(within) - 1).join(starts, keys).withColumn("rank", F.col("start") + F.col("k"))
     ranked = ranked.withColumn("shard", F.expr(f"rank * {shards} div {max(total, 1)}"))
     return ranked.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),

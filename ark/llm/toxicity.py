@@ -120,16 +120,16 @@ def learn(positive: list[np.ndarray], unlabelled: list[np.ndarray], chosen: np.n
     return Classifier(weights, float(w[-1]))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
-    """To the driver come the document frequencies of BUCKETS buckets, and POSITIVES + UNLABELLED rows of telling buckets, at most."""
+def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Classifier:
+    """To the driver come the document frequencies of BUCKETS buckets, and positives + unlabelled rows of telling buckets, at most."""
     texts = documents_only(docs).where(fold_of("doc_id", FOLDS) != HELD_OUT)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     known = known.where(fold_of("doc_id", FOLDS) != HELD_OUT).groupBy("doc_id").agg(F.max("y").alias("y"))
     n, ones = known.agg(F.count("*"), F.sum("y")).first()
     prior = (ones or 0) / n if n else 0.0
     first = lambda ids, k: ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(k)
-    chosen = first(known.where("y = 1").select("doc_id"), POSITIVES).withColumn("kind", F.lit(1))
-    chosen = chosen.union(first(texts.where("doc_id is not null").select("doc_id").distinct(), UNLABELLED).withColumn("kind", F.lit(0)))
+    chosen = first(known.where("y = 1").select("doc_id"), positives).withColumn("kind", F.lit(1))
+    chosen = chosen.union(first(texts.where("doc_id is not null").select("doc_id").distinct(), unlabelled).withColumn("kind", F.lit(0)))
 
     def make():
         def step(batch: pd.DataFrame) -> pd.DataFrame:

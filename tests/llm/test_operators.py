@@ -392,6 +392,26 @@ def test_encode_rows(spark, docs, none, model, giant, monkeypatch):
 # Sharding
 
 
+def test_shards_follow_the_curve_and_keep_equal_texts_together(spark, monkeypatch):
+    """Cells never fall along the shards; a text's rows follow each other, whatever their language and source, a hot one's too."""
+    monkeypatch.setattr(sharding, "SALTS", 5)
+    rows = [(k, f"text {k % 90} " * (1 + k % 7 * (k % 90 > 5)), "en de fr es".split()[k % 4], f"s{k % 11}") for k in range(1500)] + [(None, None, None, None)] * 700
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    out = sharding.shard_documents(df)
+    steps = out.join(df.select("doc_id", "text").distinct(), out["doc_id"].eqNullSafe(df["doc_id"])).drop(df["doc_id"]).collect()
+    assert len(steps) == len(rows)
+    least = {}
+    for r in steps:
+        least[r.text] = min(least.get(r.text, (99, 99)), (r.lang_step, r.source_step))
+    order = [r.text for r in sorted(steps, key=lambda r: (r.shard, r.slot))]
+    size = {r.text: r.size_step for r in steps}
+    groups = [t for t, before in zip(order, [object(), *order]) if t != before]
+    assert len(groups) == len(set(groups))
+    asked = spark.createDataFrame([(k, *least[t], size[t]) for k, t in enumerate(groups)], "k int, a int, b int, c int")
+    cells = [r.h for r in asked.select("k", sharding.hilbert_index([F.col("a"), F.col("b"), F.col("c")]).alias("h")).orderBy("k").collect()]
+    assert cells == sorted(cells)
+
+
 def test_sharding(spark, docs, none):
     for d in (docs, real(spark, "documents")):
         out = sharding.shard_documents(d).collect()
