@@ -139,11 +139,11 @@ SQL = {
 }
 
 
-def _with(sql: str) -> str:
+def with_tables(sql: str) -> str:
     """Leading named parts join the WITH clause of the tables."""
     return oracle(sql) if sql.startswith("SELECT") else oracle(sql).replace(f" {sql}", f", {sql}", 1)
 
 
 for _name, _view in VIEWS.items():
     QUERIES[_name] = lambda spark, folder, view=_view: view(Sample(spark, folder))
-    ORACLES[_name] = _with(SQL[_name])
+    ORACLES[_name] = with_tables(SQL[_name])
