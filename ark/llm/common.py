@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 #: Rows and bytes of one Arrow batch: long texts must not pile up in a worker.
 BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 #: Bytes of what a worker remembers in one place, by estimate, and the longest key that is worth it.
-MEMO_BYTES, LONG_KEY = 48 << 20, 1_024
+MEMO_BYTES, LONG_KEY = 32 << 20, 1_024
 
 
 class Memo(dict):
@@ -67,6 +68,27 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def trim() -> None:
+    """Give memory that a task has freed back to the system: workers wait for their next stage with little."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function for ``mapInPandas`` that leaves its worker small."""
+
+    def held(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        trim()
+
+    return held
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]], schema: str) -> DataFrame:
     """``mapInPandas`` with a function that each task makes once."""
     bounded_batches(df.sparkSession)
@@ -77,7 +99,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pd.DataFrame], pd.Da
             if len(batch):
                 yield step(batch)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(lean(run), schema)
 
 
 def text_bytes(text: object) -> bytes:

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, bounded_batches, sheltered, stored
+from .common import bounded_batches, lean, sheltered, stored, Memo
 from .lattice import Lattice
 
 MARK = "▁"
@@ -355,15 +355,15 @@ def _giant(rows: DataFrame, model: bytes, size: int) -> DataFrame:
                 yield pd.DataFrame([(mark, text, *_result(pieces, text, ids))], columns=["__mark", "text", "ids", "n_pieces", "round_trip"])
 
     # chunks are dealt anew: one document's are worked on by many tasks
-    parts = stored(rows.mapInPandas(cut, "__mark long, part long, before string, chunk string, final boolean"), "chunks").repartition("__mark", "part")
-    weights = stored(parts.mapInPandas(matrices, "__mark long, part long, width long, weights array<long>"), "matrices").withColumn("block", F.expr(f"part div {FAN}"))
+    parts = stored(rows.mapInPandas(lean(cut), "__mark long, part long, before string, chunk string, final boolean"), "chunks").repartition("__mark", "part")
+    weights = stored(parts.mapInPandas(lean(matrices), "__mark long, part long, width long, weights array<long>"), "matrices").withColumn("block", F.expr(f"part div {FAN}"))
     # up: products of neighbours; across: a document's few products; down: the chunks of each block
     products = weights.groupBy("__mark", "block").applyInPandas(multiply, "__mark long, block long, width long, weights array<long>")
     ends = products.groupBy("__mark").applyInPandas(over_blocks, "__mark long, block long, first long, last long")
     cuts = weights.join(ends, ["__mark", "block"]).groupBy("__mark", "block").applyInPandas(over_chunks, "__mark long, part long, entry long, leave long")
-    traced = parts.join(cuts, ["__mark", "part"]).mapInPandas(trace, "__mark long, part long, ids array<int>")
+    traced = parts.join(cuts, ["__mark", "part"]).mapInPandas(lean(trace), "__mark long, part long, ids array<int>")
     whole = traced.groupBy("__mark").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("part", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return rows.join(whole, "__mark").mapInPandas(close, f"__mark long, text string, {RESULT}")
+    return rows.join(whole, "__mark").mapInPandas(lean(close), f"__mark long, text string, {RESULT}")
 
 
 def encode_rows(docs: DataFrame, model_path: str, giant: int = GIANT, size: int = CHUNK, ids: bool = True) -> DataFrame:
@@ -395,10 +395,10 @@ def encode_rows(docs: DataFrame, model_path: str, giant: int = GIANT, size: int
             yield batch.assign(ids_sha256=[digest(np.asarray(x, np.int32)) for x in batch["ids"]]).drop(columns=[] if ids else ["ids"])
 
     long = F.coalesce(F.length("text"), F.lit(0)) > giant
-    small = docs.where(~long).mapInPandas(run, schema)
+    small = docs.where(~long).mapInPandas(lean(run), schema)
     giants = docs.where(long).withColumn("__mark", F.xxhash64("text"))
     texts = giants.select("__mark", "text").dropDuplicates(["__mark"])
     solved = _giant(texts, model, size).drop("text")
     joined = giants.join(solved, "__mark").select(*names, *[c for c in ("ids", "n_pieces", "round_trip")])
-    out = small.unionByName(joined.mapInPandas(digests, schema))
+    out = small.unionByName(joined.mapInPandas(lean(digests), schema))
     return out.toDF(*given, *out.columns[len(given) :])

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LONG_KEY, Memo, bounded_batches, documents_only, map_batches, sheltered, text_bytes
+from .common import LONG_KEY, bounded_batches, documents_only, lean, map_batches, sheltered, text_bytes, Memo
 
 BUCKETS = 1 << 16
 #: Mean log ratio per n-gram from which a text is kept.
@@ -101,7 +101,7 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         at = np.flatnonzero(raw)
         yield pd.DataFrame({"bucket": at, "raw": raw[at], "target": target[at]})
 
-    sums = marked.select("text", "trusted").mapInPandas(run, "bucket long, raw long, target long")
+    sums = marked.select("text", "trusted").mapInPandas(lean(run), "bucket long, raw long, target long")
     return sums.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
@@ -189,7 +189,7 @@ def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD)
         yield pd.DataFrame([(lang, at, n) for (lang, at), n in found.items()], columns=["lang", "bin", "n"])
 
     own = marked.join(ids, "__id").select("text", "__lang")
-    of_lang, of_all = held_out_thresholds(own.mapInPandas(scores, "lang string, bin long, n long"), threshold)
+    of_lang, of_all = held_out_thresholds(own.mapInPandas(lean(scores), "lang string, bin long, n long"), threshold)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Buckets()
@@ -202,4 +202,4 @@ def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD)
                 yield batch[names][np.array(good, bool)]
 
     found = marked.join(ids, "__id", "left").select(*names, "__lang", "__trusted")
-    return found.mapInPandas(run, marked.select(*names).schema).toDF(*docs.columns)
+    return found.mapInPandas(lean(run), marked.select(*names).schema).toDF(*docs.columns)

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, forget, sheltered, stored, text_bytes, with_counts
+from .common import bounded_batches, forget, lean, sheltered, stored, text_bytes, with_counts
 
 LENGTH, GRAM = 400, 64
 #: Bytes of one numpy pass; anchors hold their place in it in 20 bits.
@@ -125,7 +125,7 @@ def all_anchors(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
                 head = {n: np.repeat(batch[n].to_numpy(), sizes) for n in ("__id", "__mark")}
                 yield pd.DataFrame(head | dict(zip(("h", "at", "first", "last"), columns, strict=True)))
 
-    return rows.mapInPandas(run, "__id long, __mark long, h long, at int, first int, last int")
+    return rows.mapInPandas(lean(run), "__id long, __mark long, h long, at int, first int, last int")
 
 
 # Front-coded runs ------------------------------------------------------------------------------------------
@@ -341,7 +341,7 @@ def _merged(entries: DataFrame, read: Callable[[pd.DataFrame], Iterator[tuple]],
         return pd.concat([spans, rest[spans.columns]]) if len(rest) else spans
 
     schema = f"{SPAN}, key long, suffix binary, back binary, at int, low int, high int"
-    return entries.mapInPandas(runs, "bucket long, run binary").groupBy("bucket").applyInPandas(merge, schema)
+    return entries.mapInPandas(lean(runs), "bucket long, run binary").groupBy("bucket").applyInPandas(merge, schema)
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
@@ -416,7 +416,7 @@ def removed_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucke
             yield found
 
     rows = _with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), length, gram, bucket)
-    return rows.select("doc_id", "text", "__spans").mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.select("doc_id", "text", "__spans").mapInPandas(lean(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, least: int = 1) -> DataFrame:
@@ -438,4 +438,4 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, least:
                 yield out
 
     rows = sheltered(docs)
-    return _with_spans(rows, length, gram).select(*rows.columns, "__spans").mapInPandas(run, rows.schema).toDF(*docs.columns)
+    return _with_spans(rows, length, gram).select(*rows.columns, "__spans").mapInPandas(lean(run), rows.schema).toDF(*docs.columns)

@@ -39,10 +39,11 @@ def family(rng, words, copies, changed):
     return out
 
 
-@pytest.mark.parametrize("sample", [20_000, 10])
-def test_every_similar_pair_is_found(spark, monkeypatch, sample):
-    """Copies near the bound on either side, some of them linked through their source alone, below one common line."""
-    monkeypatch.setattr(similar, "SAMPLE", sample)
+@pytest.mark.parametrize(("share", "hot", "rounds"), [(4, 4, 2), (1, 1, 0), (1, 3, 3)])
+def test_every_similar_pair_is_found(spark, monkeypatch, share, hot, rounds):
+    """Copies near the bound on either side, some of them linked through their source alone, below one common line, whatever is hot."""
+    for name, value in (("SHARE", share), ("HOT", hot), ("ROUNDS", rounds)):
+        monkeypatch.setattr(similar, name, value)
     rng = random.Random(5)
     line = " ".join(f"licence{k}" for k in range(30))
     texts = [f"{line} {t}" for changed in range(1, 9) for t in family(rng, 200, 6, changed)] + ["", None, " \n", "One two", "one TWO", "one two three four five six"]
