@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.archives import crc_shift, four_byte_edits, header_edits
+from ..functions.archives import crc_shift, header_edits
 
 FIELDS = ("size", "crc32", "md5", "sha1", "sha256")
 
@@ -71,7 +71,7 @@ def recovered_headers(candidates: DataFrame, changed: int = 2, four: bool = Fals
                 found = next(filter(good, header_edits(header, body_crc, len(body), want, changed)), None)
                 method = "few_bytes"
                 if found is None and four:
-                    found, method = next(filter(good, four_byte_edits(header, body_crc, len(body), want)), None), "four_bytes"
+                    found, method = next(filter(good, header_edits(header, body_crc, len(body), want, 4, least=4)), None), "four_bytes"
                 if found is not None:
                     out.append((target, found, method))
             yield pd.DataFrame(out, columns=["target_id", "header", "method"])

@@ -132,7 +132,7 @@ def test_crc_algebra():
 def test_header_search():
     rng = random.Random(4)
     header, body = b"NES\x1a" + rng.randbytes(12), rng.randbytes(500)
-    for changed in (1, 2):
+    for changed in (1, 2, 3):
         real = bytearray(header)
         for p in rng.sample(range(4, 16), changed):
             real[p] ^= rng.randrange(1, 256)
@@ -142,7 +142,7 @@ def test_header_search():
     for p in (4, 7, 9, 15):
         real[p] ^= 0x55
     target = zlib.crc32(bytes(real) + body)
-    found = list(archives.four_byte_edits(header, zlib.crc32(body), len(body), target))
+    found = list(archives.header_edits(header, zlib.crc32(body), len(body), target, 4, least=4))
     assert bytes(real) in found
     assert all(zlib.crc32(h + body) == target for h in found)
 
