@@ -8,10 +8,10 @@ from pyspark.sql.window import Window
 
 
 def split_blocks(df: DataFrame, key: list[str], content: str, size: int) -> DataFrame:
-    """One row per block of ``size`` units; empty content has one empty block."""
-    starts = F.sequence(F.lit(0), F.greatest(F.length(content) - 1, F.lit(0)), F.lit(size))
-    return df.select(*key, content, F.posexplode(starts).alias("ordinal", "offset")).select(
-        *key, F.col("ordinal").cast("long").alias("ordinal"), F.col("offset").cast("long").alias("offset"), F.substring(F.col(content), F.col("offset") + 1, F.lit(size)).alias("block"))
+    """One row per block of ``size`` characters; empty content has one empty block. A text is cut in one pass."""
+    cut = F.regexp_extract_all(F.col(content), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    each = df.select(*key, F.posexplode(F.when(F.length(content) == 0, F.array(F.lit(""))).otherwise(cut)).alias("ordinal", "block"))
+    return each.select(*key, F.col("ordinal").cast("long").alias("ordinal"), (F.col("ordinal") * F.lit(size)).cast("long").alias("offset"), "block")
 
 
 def block_stats(blocks: DataFrame, by: str) -> DataFrame:

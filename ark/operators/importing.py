@@ -10,6 +10,7 @@ from ..functions.expressions import base_title, body_hash
 from ..headers import read_headers
 from ..platforms import PLATFORMS, belongs, cuts, header_size
 from ..schemas import SCHEMAS
+from ..shared import stored
 from .records import record_id
 from .storage import id_of, store
 
@@ -35,9 +36,9 @@ def import_files(catalog: Catalog, files: DataFrame, platform: str, imported_at:
     catalog.append("files", occurrence.join(catalog.files.select("id"), "id", "left_anti"))
     one = rows.dropDuplicates(["object_id"]).withColumn("id", record_id(F.col("object_id"), F.lit(platform)))
     fresh = one.join(catalog.roms.select("id"), "id", "left_anti").withColumn("platform", F.lit(platform)).select("id", "object_id", "platform", "content")
-    fresh = fresh.checkpoint() if catalog.spark.sparkContext.getCheckpointDir() else fresh.cache()
+    fresh = stored(fresh, "fresh")
     read = read_headers(fresh, "id")
-    read = read.checkpoint() if catalog.spark.sparkContext.getCheckpointDir() else read.cache()
+    read = stored(read, "read")
     head = header_size(platform, F.col("content"))
     body = F.sha2(F.expr("substr(content, head + 1)"), 256)
     bodies = fresh.withColumn("head", head).select("id", "object_id", F.when(F.col("head") > 0, F.substr("content", F.lit(1), F.col("head"))).alias("header"), F.when(F.col("head") > 0, id_of(body)).alias("body_object_id"), body_hash(F.lit(platform), F.col("content")).alias("ra_md5"))

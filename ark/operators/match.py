@@ -13,29 +13,31 @@ from ..functions.expressions import STRENGTHS, agrees, strongest
 RANK = {"sha256": 0, "sha1": 1}
 
 
+def _met(targets: DataFrame, objects: DataFrame, names: tuple[str, ...], how: str) -> DataFrame:
+    """Targets with the objects that have their strongest hash, and the status of each pair. One join on (kind, hash)."""
+    fields = ["size", *names]
+    t = targets.withColumn("strength", strongest({n: F.col(n) for n in names}))
+    t = t.withColumn("value", F.lower(F.coalesce(*[F.when(F.col("strength") == n, F.col(n)) for n in names])))
+    hashes = F.explode(F.array(*[F.struct(F.lit(n).alias("strength"), F.lower(n).alias("value")) for n in names])).alias("h")
+    o = objects.select("object_id", *[F.col(n).alias(f"o_{n}") for n in fields], hashes).where("h.value is not null").select("*", "h.*").drop("h")
+    same = agrees({n: F.col(n) for n in fields}, {n: F.col(f"o_{n}") for n in fields})
+    found = F.when(F.col("nodump"), "unverifiable").when(same, "match").otherwise("mismatch")
+    status = F.when(F.col("strength").isNull(), "unverifiable").when(F.col("object_id").isNull(), "no_candidate").otherwise(found)
+    return t.join(o, ["strength", "value"], how).select("target_id", "object_id", "strength", status.alias("status"))
+
+
 def validations(targets: DataFrame, objects: DataFrame, names: tuple[str, ...] = STRENGTHS) -> DataFrame:
     """(target_id, object_id, strength, status) of every object that has a target's strongest hash.
 
-    ``targets``: target_id, size, hashes, nodump; ``objects``: object_id, size, hashes. One equi-join for each kind of
-    hash; the kinds are disjoint. A nodump target, or one without hashes, is unverifiable even where all is equal.
+    ``targets``: target_id, size, hashes, nodump; ``objects``: object_id, size, hashes. A nodump target, or one
+    without hashes, is unverifiable even where all is equal.
     """
-    fields = ["size", *names]
-    t = targets.withColumn("strength", strongest({n: F.col(n) for n in names}))
-    o = objects.select(F.col("object_id"), *[F.col(n).alias(f"o_{n}") for n in fields])
-    parts = [t.where(F.col("strength") == n).join(o, F.lower(F.col(n)) == F.lower(F.col(f"o_{n}"))) for n in names]
-    met = reduce(DataFrame.unionByName, parts)
-    same = agrees({n: F.col(n) for n in fields}, {n: F.col(f"o_{n}") for n in fields})
-    status = F.when(F.col("nodump"), "unverifiable").when(same, "match").otherwise("mismatch")
-    return met.select("target_id", "object_id", "strength", status.alias("status"))
+    return _met(targets, objects, names, "inner")
 
 
 def scan(targets: DataFrame, objects: DataFrame, names: tuple[str, ...] = STRENGTHS) -> DataFrame:
     """(status, n): validations by outcome, targets without a hash, and targets without an object."""
-    found = validations(targets, objects, names)
-    t = targets.select("target_id", strongest({n: F.col(n) for n in names}).alias("strength"))
-    none = t.where("strength is null").select(F.lit("unverifiable").alias("status"))
-    lost = t.where("strength is not null").join(found, "target_id", "left_anti").select(F.lit("no_candidate").alias("status"))
-    return found.select("status").union(none).union(lost).groupBy("status").agg(F.count("*").alias("n"))
+    return _met(targets, objects, names, "left").groupBy("status").agg(F.count("*").alias("n"))
 
 
 def best_validations(found: DataFrame) -> DataFrame:
@@ -48,7 +50,7 @@ def best_validations(found: DataFrame) -> DataFrame:
 def snapshot_diff(old: DataFrame, new: DataFrame, signature: list[str]) -> DataFrame:
     """(old_id, new_id, change) between two snapshots of unique names and signatures.
 
-    By name without case first, then by equal signature among what is left: unchanged, case_changed,
+    By name without case first, then one to one by equal signature among what is left: unchanged, case_changed,
     checksum_changed, renamed, added, removed. Missing parts of a signature are equal.
     """
     sign = F.struct(*[F.col(c) for c in signature])
@@ -59,7 +61,11 @@ def snapshot_diff(old: DataFrame, new: DataFrame, signature: list[str]) -> DataF
     change = F.when(~same, "checksum_changed").when(F.col("old_name") == F.col("new_name"), "unchanged").otherwise("case_changed")
     out = named.select("old_id", "new_id", change.alias("change"))
     o_left, n_left = o.join(n, "key", "left_anti"), n.join(o, "key", "left_anti")
-    pairs = o_left.drop("key").join(n_left.drop("key"), same, "full")
+    # one old row for one new row of a signature, in the order of their ids; an empty signature pairs nothing
+    said = lambda c: F.greatest(*[F.col(c)[f].isNotNull() for f in signature]) if len(signature) > 1 else F.col(c)[signature[0]].isNotNull()
+    place = lambda side: F.when(said(f"{side}_sign"), F.row_number().over(Window.partitionBy(f"{side}_sign").orderBy(f"{side}_id")))
+    o_left, n_left = o_left.drop("key").withColumn("o_k", place("old")), n_left.drop("key").withColumn("n_k", place("new"))
+    pairs = o_left.join(n_left, same & (F.col("o_k") == F.col("n_k")), "full")
     rest = F.when(F.col("new_id").isNull(), "removed").when(F.col("old_id").isNull(), "added").otherwise("renamed")
     return out.union(pairs.select("old_id", "new_id", rest.alias("change")))
 

@@ -12,14 +12,24 @@ from pyspark.sql.window import Window
 from ..catalog import Catalog
 from ..functions.expressions import hashes
 from ..schemas import SCHEMAS
+from ..shared import stored
 from .groups import decode_members, encode_groups, next_fit
 
 BLOCK, CAP = 64 << 10, 32 << 20
 
 
 def id_of(digest: Column) -> Column:
-    """An id from the first 60 bits of a hex digest: the same content has the same id in every run."""
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+    """An id from the first 63 bits of a hex digest: the same content has the same id in every run. ``store`` refuses
+    two digests of one id."""
+    return F.shiftrightunsigned(F.conv(F.substring(digest, 1, 16), 16, -10).cast("long"), 1)
+
+
+def refuse_clashes(new: DataFrame, known: DataFrame) -> None:
+    """``new`` and ``known``: sha256. An id that stands for two digests is an error."""
+    named = lambda df, name: df.select(id_of(F.col("sha256")).alias("id"), F.col("sha256").alias(name))
+    mine, other = named(new, "a"), named(new.union(known), "b")
+    if not mine.join(other, "id").where("a <> b").isEmpty():
+        raise ValueError("two contents have the same id")
 
 
 def blocks_of(contents: DataFrame, key: str, size: int, cuts: str | None = None) -> DataFrame:
@@ -53,17 +63,19 @@ def store(catalog: Catalog, files: DataFrame, block: int = BLOCK, cap: int = CAP
     named = files.select("family", "content", *(["cuts"] if "cuts" in files.columns else []), *hashes(F.col("content")))
     known = catalog.objects.select("sha256")
     fresh = named.dropDuplicates(["sha256"]).join(known, "sha256", "left_anti").withColumn("object_id", id_of(F.col("sha256")))
-    fresh = fresh.checkpoint() if fresh.sparkSession.sparkContext.getCheckpointDir() else fresh.cache()
+    fresh = stored(fresh, "fresh")
     blocks = blocks_of(fresh, "object_id", block, "cuts" if "cuts" in files.columns else None)
     held = catalog.chunks.select(F.lower(F.hex("sha256")).alias("sha256"))
     families = fresh.select("object_id", "family")
     new = blocks.join(families, "object_id").groupBy("sha256").agg(F.min("family").alias("family"), F.first("data").alias("content"), F.first("size").alias("size")).join(held, "sha256", "left_anti")
-    new = new.checkpoint() if new.sparkSession.sparkContext.getCheckpointDir() else new.cache()
+    new = stored(new, "new")
     plan = next_fit(new, "family", "sha256", "size", cap)
     members = plan.join(new.select("sha256", "content"), "sha256")
     packed = encode_groups(members, ["family", "group_no"], "offset", "content").withColumn("id", id_of(F.col("sha256")))
-    packed = packed.checkpoint() if packed.sparkSession.sparkContext.getCheckpointDir() else packed.cache()
+    packed = stored(packed, "packed")
     chunks = plan.join(packed.select("family", "group_no", F.col("id").alias("group_id")), ["family", "group_no"])
+    refuse_clashes(fresh.select("sha256"), known)
+    refuse_clashes(new.select("sha256"), held)
     counts = {"objects": fresh.count(), "blocks": new.count(), "groups": packed.count()}
     catalog.append("chunks", chunks.select(id_of(F.col("sha256")).alias("id"), F.unhex("sha256").alias("sha256"), "size", F.lit("group").alias("codec"), F.lit(0).alias("depth"), "group_id", F.col("offset").alias("group_offset")))
     catalog.append("compression_groups", packed.select("id", F.unhex("sha256").alias("sha256"), F.unhex(F.sha2("data", 256)).alias("encoded_sha256"), F.col("raw_size").alias("size"), F.lit("lzma2-solid").alias("codec"), "data"))
@@ -80,7 +92,7 @@ def fetch(catalog: Catalog, object_ids: DataFrame) -> DataFrame:
     wanted = object_ids.select("object_id").distinct()
     spans = catalog.object_chunks.join(wanted, "object_id", "left_semi").select("object_id", "offset", "chunk_id", F.explode(F.sequence(F.lit(0), (F.col("repeat") - 1).cast("int"))).alias("k"))
     chunks = catalog.chunks.join(spans.select(F.col("chunk_id").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("chunk_id"), "group_id", F.col("group_offset").alias("offset"), "size")
-    groups = catalog.compression_groups.select(F.col("id").alias("group_id"), "data", F.lower(F.hex("sha256")).alias("sha256"))
+    groups = catalog.compression_groups.select(F.col("id").alias("group_id"), "data", "size", F.lower(F.hex("sha256")).alias("sha256"))
     bytes_of = decode_members(groups, chunks, ["group_id"], "chunk_id")
     parts = spans.join(bytes_of, "chunk_id").withColumn("at", F.col("offset") + F.col("k") * F.octet_length("content"))
     whole = parts.groupBy("object_id").agg(F.sort_array(F.collect_list(F.struct("at", "content"))).alias("p"))
@@ -114,14 +126,14 @@ def regroup(catalog: Catalog, folder: str, cap: int) -> Catalog:
     """A copy of the catalog with its blocks packed anew, family by family, into groups of another cap. Identities stay."""
     of_group = catalog.solid_group_families.groupBy("group_id").agg(F.min("family_key").alias("family"))
     held = catalog.chunks.where("group_id is not null")
-    groups = catalog.compression_groups.select(F.col("id").alias("group_id"), "data", F.lower(F.hex("sha256")).alias("sha256"))
+    groups = catalog.compression_groups.select(F.col("id").alias("group_id"), "data", "size", F.lower(F.hex("sha256")).alias("sha256"))
     places = held.select(F.col("id").alias("chunk_id"), "group_id", F.col("group_offset").alias("offset"), "size")
     bytes_of = decode_members(groups, places, ["group_id"], "chunk_id")
     named = held.join(of_group, "group_id", "left").select("id", F.lower(F.hex("sha256")).alias("sha256"), "size", F.coalesce("family", F.lit("")).alias("family"))
     plan = next_fit(named, "family", "sha256", "size", cap).join(named.select("id", "sha256"), "sha256")
-    plan = plan.checkpoint() if plan.sparkSession.sparkContext.getCheckpointDir() else plan.cache()
+    plan = stored(plan, "plan")
     packed = encode_groups(plan.join(bytes_of.withColumnRenamed("chunk_id", "id"), "id"), ["family", "group_no"], "offset", "content").withColumn("new_group", id_of(F.col("sha256")))
-    packed = packed.checkpoint() if packed.sparkSession.sparkContext.getCheckpointDir() else packed.cache()
+    packed = stored(packed, "packed")
     copy = Catalog(catalog.spark, folder)
     moved = ("chunks", "compression_groups", "solid_group_families")
     for name in SCHEMAS:

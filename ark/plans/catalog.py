@@ -11,7 +11,7 @@ from .registry import Tables, query
 
 TARGETS = """t AS (SELECT doc_id AS target_id, (length(text) + CASE WHEN doc_id % 11 = 0 THEN 1 ELSE 0 END)::BIGINT AS size, CASE WHEN doc_id % 5 <> 0 THEN sha256(text) END AS sha256,
 CASE WHEN doc_id % 2 = 0 THEN sha1(text) END AS sha1, CASE WHEN doc_id % 15 <> 0 THEN md5(text) END AS md5, doc_id % 13 = 0 AS nodump FROM documents),
-o AS (SELECT min(doc_id) AS object_id, length(text)::BIGINT AS size, sha256(text) AS sha256, sha1(text) AS sha1, md5(text) AS md5 FROM documents WHERE doc_id % 3 <> 0 GROUP BY text),
+o AS (SELECT min(doc_id) AS object_id, length(text)::BIGINT AS size, sha256(text) AS sha256, sha1(text) AS sha1, md5(text) AS md5 FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || '~' ELSE text END AS text FROM documents) GROUP BY text),
 s AS (SELECT *, CASE WHEN sha256 IS NOT NULL THEN 'sha256' WHEN sha1 IS NOT NULL THEN 'sha1' WHEN md5 IS NOT NULL THEN 'md5' END AS strength FROM t),
 v AS (SELECT s.target_id, o.object_id, s.strength, CASE WHEN s.nodump THEN 'unverifiable' WHEN s.size = o.size AND coalesce(s.sha256 = o.sha256, true) AND coalesce(s.sha1 = o.sha1, true) AND coalesce(s.md5 = o.md5, true) THEN 'match' ELSE 'mismatch' END AS status
 FROM s JOIN o ON (s.strength = 'sha256' AND s.sha256 = o.sha256) OR (s.strength = 'sha1' AND s.sha1 = o.sha1) OR (s.strength = 'md5' AND s.md5 = o.md5))"""
@@ -24,7 +24,8 @@ def _targets(t: Tables) -> tuple[DataFrame, DataFrame]:
     targets = d.select(
         F.col("doc_id").alias("target_id"), (F.length("text") + F.when(F.col("doc_id") % 11 == 0, 1).otherwise(0)).cast("long").alias("size"),
         only("doc_id % 5 <> 0", F.sha2(text, 256)).alias("sha256"), only("doc_id % 2 = 0", F.sha1(text)).alias("sha1"), only("doc_id % 15 <> 0", F.md5(text)).alias("md5"), F.expr("doc_id % 13 = 0").alias("nodump"))
-    objects = d.where("doc_id % 3 <> 0").groupBy(F.sha2(text, 256).alias("sha256"), F.sha1(text).alias("sha1"), F.md5(text).alias("md5"), F.length("text").cast("long").alias("size")).agg(F.min("doc_id").alias("object_id"))
+    d = d.select("doc_id", F.expr("CASE WHEN doc_id % 3 = 0 THEN text || '~' ELSE text END").alias("text"))  # a third has other contents
+    objects = d.groupBy(F.sha2(text, 256).alias("sha256"), F.sha1(text).alias("sha1"), F.md5(text).alias("md5"), F.length("text").cast("long").alias("size")).agg(F.min("doc_id").alias("object_id"))
     return targets, objects
 
 
@@ -167,15 +168,15 @@ def title_parse(t: Tables) -> DataFrame:
     return titles.parsed(_titles(t), "title").select("id", "title", "base", "tags", "region", "revision")
 
 
-@query(f"""WITH g AS (SELECT id AS game_id, title, {PARSED} FROM (SELECT p_partkey AS id, {NAMED} AS title FROM part WHERE p_partkey % 2 = 0)),
-e AS (SELECT id AS entry_id, title, {PARSED} FROM (SELECT p_partkey AS id, {NAMED} AS title FROM part WHERE p_partkey % 3 = 0)),
+@query(f"""WITH g AS (SELECT id AS game_id, title, {PARSED} FROM (SELECT p_partkey AS id, {NAMED} AS title FROM part)),
+e AS (SELECT id AS entry_id, title, {PARSED} FROM (SELECT p_partkey AS id, {NAMED} AS title FROM part)),
 m AS (SELECT entry_id, game_id, CASE WHEN lower(e.title) = lower(g.title) THEN 0 WHEN e.tags = g.tags THEN 1 WHEN e.region = g.region THEN 2 ELSE 3 END AS tier FROM e JOIN g USING (base)),
 c AS (SELECT entry_id, tier, count(DISTINCT game_id) AS n_games, min(game_id) AS game_id FROM m GROUP BY 1, 2),
 b AS (SELECT * FROM c JOIN (SELECT entry_id, min(tier) AS tier FROM m GROUP BY 1) USING (entry_id, tier))
 SELECT entry_id, tier, CASE WHEN n_games IS NULL THEN 'unmatched' WHEN n_games = 1 THEN 'matched' ELSE 'ambiguous' END AS status, CASE WHEN n_games = 1 THEN game_id END AS game_id, coalesce(n_games, 0)::BIGINT AS n_games FROM (SELECT entry_id FROM e) LEFT JOIN b USING (entry_id)""")
 def title_resolve(t: Tables) -> DataFrame:
     rows = _titles(t)
-    return titles.resolve(rows.where("id % 3 = 0").toDF("entry_id", "name"), rows.where("id % 2 = 0").toDF("game_id", "title"))
+    return titles.resolve(rows.toDF("entry_id", "name"), rows.toDF("game_id", "title"))
 
 
 @query("""SELECT p_brand, count(DISTINCT CASE WHEN p_size > 45 THEN p_type END)::BIGINT AS n_names, CASE count(DISTINCT CASE WHEN p_size > 45 THEN p_type END) WHEN 0 THEN 'missing' WHEN 1 THEN 'unique_translation' ELSE 'needs_review' END AS status FROM part GROUP BY 1""")
@@ -194,7 +195,7 @@ def alternatives(t: Tables) -> DataFrame:
     return titles.alternatives(t.part, "p_size", "p_brand")
 
 
-LAYERS = {"catalog": ("part", "supplier"), "orders": ("orders", "lineitem"), "text": ("documents", "pages", "benchmark"), "evidence": ("labels", "events")}
+LAYERS = {"catalog": ("region", "nation", "customer", "part", "supplier"), "orders": ("orders", "lineitem"), "text": ("documents", "pages", "benchmark", "conversations"), "evidence": ("labels", "events", "embeddings")}
 
 
 @query("\nUNION ALL ".join(f"SELECT '{layer}' AS layer, '{n}' AS name, count(*)::BIGINT AS n FROM {n}" for layer, names in LAYERS.items() for n in names))
@@ -207,11 +208,11 @@ def source_inventory(t: Tables) -> DataFrame:
     return out
 
 
-@query("""WITH r AS (SELECT DISTINCT regexp_extract(url, '^([a-z]+://[^/]+)', 1) AS root FROM pages WHERE page_id % 4 = 0) SELECT root, page_id, url FROM pages JOIN r ON starts_with(lower(url), lower(root) || '/')""")
+@query("""WITH r AS (SELECT DISTINCT regexp_extract(url, '^([a-z]+://[^/]+)', 1) AS root FROM pages) SELECT root, page_id, url FROM pages JOIN r ON starts_with(lower(url), lower(root) || '/')""")
 def collection_files(t: Tables) -> DataFrame:
     """Pages under the roots: met by host, then compared as prefixes."""
     host = F.regexp_extract("url", r"^([a-z]+://[^/]+)", 1)
-    roots = t.pages.where("page_id % 4 = 0").select(host.alias("root")).distinct()
+    roots = t.pages.select(host.alias("root")).distinct()
     return t.pages.withColumn("host", F.lower(host)).join(roots, F.col("host") == F.lower("root")).where(under_root(F.col("url"), F.col("root"))).select("root", "page_id", "url")
 
 

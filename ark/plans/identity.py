@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import crc32_hex, hashes, hex_or_zero
 from ..operators import audit, blocks, groups, select
+from ..shared import fresh_path
 from ..streaming import ingest
 from .registry import Tables, query
 
@@ -80,11 +79,13 @@ def shared_block_family(t: Tables) -> DataFrame:
     return blocks.shared_block_family(lines, "doc_id", "source", "line")
 
 
-@query("""WITH one AS (SELECT text, min(doc_id) AS doc_id FROM documents WHERE length(text) >= 8 GROUP BY text),
+@query("""WITH two AS (SELECT doc_id, text FROM documents UNION ALL SELECT doc_id + 100000000, substr(text, 1, (length(text) - 1)::BIGINT) || '#' FROM documents), one AS (SELECT text, min(doc_id) AS doc_id FROM two WHERE length(text) >= 8 GROUP BY text),
 s AS (SELECT doc_id, length(text) AS size, band, md5(substr(text, (band * (length(text) // 8) + 1)::BIGINT, (length(text) // 8)::BIGINT)) AS digest FROM one, range(8) r(band))
 SELECT a.doc_id AS a, b.doc_id AS b, count(*)::BIGINT AS bands FROM s a JOIN s b ON a.size = b.size AND a.band = b.band AND a.digest = b.digest AND a.doc_id < b.doc_id GROUP BY 1, 2 HAVING count(*) >= 2""")
 def band_candidates(t: Tables) -> DataFrame:
-    return blocks.band_candidates(t.documents, "doc_id", "text")
+    """Each document, and itself with another last character."""
+    changed = t.documents.select((F.col("doc_id") + 100000000).alias("doc_id"), F.expr("concat(substr(text, 1, length(text) - 1), '#')").alias("text"))
+    return blocks.band_candidates(t.documents.select("doc_id", "text").union(changed), "doc_id", "text")
 
 
 @query("""WITH RECURSIVE m AS (SELECT source, doc_id, octet_length(encode(text))::BIGINT AS size, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents),
@@ -97,7 +98,7 @@ def group_plan(t: Tables) -> DataFrame:
     return groups.next_fit(sizes, "source", "doc_id", "size", 65536)
 
 
-@query()
+@query("""SELECT doc_id, sha256(text) AS sha256, true AS same FROM documents""")
 def group_roundtrip(t: Tables) -> DataFrame:
     """Encode all documents into solid groups, decode them, and compare digests."""
     rows = t.documents.select("doc_id", "source", F.col("text").cast("binary").alias("content"))
@@ -129,7 +130,7 @@ def _digest_sql(table: str, columns: list[str]) -> str:
 
 DIGESTED = {
     "region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"], "labels": ["doc_id", "quality", "toxic"],
-    "benchmark": ["item_id", "text"], "documents": ["doc_id", "text", "lang", "source", "n_chars"], "conversations": ["conv_id", "turn", "role", "text"],
+    "benchmark": ["item_id", "text"], "pages": ["page_id", "url", "html"], "documents": ["doc_id", "text", "lang", "source", "n_chars"], "conversations": ["conv_id", "turn", "role", "text"],
 }
 
 
@@ -155,20 +156,14 @@ def mode_flag(t: Tables) -> DataFrame:
     return t.lineitem.join(common, "l_suppkey").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "mode", (F.col("l_returnflag") == F.col("mode")).alias("is_common"))
 
 
-@query()
+@query("""SELECT event_type, count(*)::BIGINT AS n, count(DISTINCT event_id)::BIGINT AS ids FROM events GROUP BY 1""")
 def ingest_idempotent(t: Tables) -> DataFrame:
     """Two ingests of the same events, and one of a copy under another name, store each event once."""
-    shared = t.spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    base = shared or tempfile.mkdtemp(prefix="ark-ingest-")
-    folder = f"{base}/ingest-{t.spark.sparkContext.applicationId}-{id(t)}"
+    folder = fresh_path(t.spark, "ingest")
     events = t.events
     events.write.parquet(f"{folder}/in/one")
     for step in ("one", "one", "two"):
         if step == "two":
             events.write.parquet(f"{folder}/in/two")
         ingest.ingest(t.spark, f"{folder}/in/*", events.schema, f"{folder}/out", f"{folder}/state", ["event_id"])
-    stored = t.spark.read.parquet(f"{folder}/out").groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"))
-    if not shared:
-        stored = t.spark.createDataFrame(stored.collect(), stored.schema)  # five rows: one for each type of event
-        shutil.rmtree(base, ignore_errors=True)
-    return stored
+    return t.spark.read.parquet(f"{folder}/out").groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"))

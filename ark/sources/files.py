@@ -23,7 +23,8 @@ MEMBER = "path string, member_index int, name string, crc32 string, method int,
 
 def members(spark: SparkSession, path: str) -> DataFrame:
     """Plain files and the members of ZIP files, one row each. A bad archive or member is a row with a fault."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(F.col("length") <= LARGEST_ARCHIVE)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files, large = found.where(F.col("length") <= LARGEST_ARCHIVE), found.where(F.col("length") > LARGEST_ARCHIVE)
 
     def unpack(path: str, data: bytes) -> Iterator[tuple]:
         with zipfile.ZipFile(io.BytesIO(data)) as z:
@@ -56,7 +57,9 @@ def members(spark: SparkSession, path: str) -> DataFrame:
                     yield pd.DataFrame([(path, -1, os.path.basename(path), None, 0, 0, None, str(error))], columns=names)
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    return files.select("path", "content").mapInPandas(run, MEMBER)
+    none = {n: F.lit(None).cast(k).alias(n) for n, k in (c.split() for c in MEMBER.split(", "))}
+    faults = none | {"path": F.col("path"), "member_index": F.lit(-1).alias("member_index"), "name": F.substring_index("path", "/", -1).alias("name"), "fault": F.lit("too large").alias("fault")}
+    return files.select("path", "content").mapInPandas(run, MEMBER).unionByName(large.select(*faults.values()))
 
 
 def by_stamp(files: DataFrame, column: str = "path") -> DataFrame:
@@ -116,11 +119,15 @@ def export_files(files: DataFrame, folder: str) -> DataFrame:
                         f.write(bytes(content))
                     with open(part, "rb") as f:
                         good = hashlib.sha256(f.read()).hexdigest() == digest
-                    if good:
-                        os.replace(part, path)
-                    else:
-                        os.unlink(part)
+                    if not good:
                         status = "corrupt"
+                    else:
+                        try:
+                            os.link(part, path)  # fails where another task has made the file meanwhile
+                        except FileExistsError:
+                            with open(path, "rb") as f:
+                                status = "present" if hashlib.sha256(f.read()).hexdigest() == digest else "different"
+                    os.unlink(part)
                 out.append((name, status))
             yield pd.DataFrame(out, columns=["name", "status"])
 

@@ -6,19 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..shared import stored
+
 
 def append_new(df: DataFrame, target: str, key: list[str]) -> int:
     """Append the rows whose key the target lacks; one row of equal keys. Returns the number added."""
     spark = df.sparkSession
     fresh = df.dropDuplicates(key)
-    try:
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         fresh = fresh.join(spark.read.parquet(target).select(*key), key, "left_anti")
-    except Exception as error:  # noqa: BLE001  the target does not exist yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-    before = fresh.count()
-    fresh.select(*df.columns).write.mode("append").parquet(target)
-    return before
+    fresh = stored(fresh.select(*df.columns), "fresh")  # worked out once, then counted and copied
+    fresh.write.mode("append").parquet(target)
+    return fresh.count()
 
 
 def ingest(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, key: list[str]) -> None:
