@@ -12,7 +12,8 @@ Conversations are streamed from sorted partitions, turn by turn: memory holds on
 conversation is.
 
 Defined cases: null texts and roles are empty; turns with equal numbers are ordered by role and text, and all
-kept; rows without conv_id form one conversation; null turn numbers come first; other columns are ignored.
+kept; rows without conv_id form one conversation; null turn numbers come first; very long texts get windows of their
+own, never cut; repeated rows are turns of their own; other columns are ignored; an empty table gives no windows.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ row per document are. Term sets are broadcast in blocks of a fixed size, so a la
 
 Defined cases: null and empty texts have no words; an item without words matches nothing; repeated documents
 are returned each, repeated items count once per item_id; null item_ids are ignored; other columns are ignored;
-without any item every document is clean, without documents the result is empty.
+without any item every document is clean, without documents the result is empty. Of equally rare terms the first in
+letter order is the anchor, then the first in place; very long texts are read whole.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ in numpy.
 
 Defined cases: null and empty texts have all statistics zero and are scored as such; texts are read whole;
 repeated rows are scored each; a document with several labels has the largest; null labels are ignored; without
-labels every score is 0.5, with one class only it is that class' share; other columns are ignored.
+labels every score is 0.5, with one class only it is that class' share; splits of equal gain go to the first
+statistic and lowest limit; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -3,6 +3,9 @@
 Every prefix of a text has an exact token count, built from the counts of shorter prefixes, so budget and
 truncation questions are answered without encoding anything again.
 
+Of each piece of text met, the counts of all its prefixes are kept (in bounded memory), so a cut reads them; of a
+very long piece no more is held than a token can reach back to.
+
 Defined cases: null and empty texts have 0 tokens; texts are never cut; repeated rows are counted each;
 other columns of the input are ignored; an empty table gives an empty result.
 """

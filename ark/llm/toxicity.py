@@ -10,7 +10,8 @@ of the labelled documents to learn from.
 
 Defined cases: null and empty texts have no words and get the bias alone; texts are read whole; repeated rows are
 scored each; a document with several labels is toxic if any says so; null labels are ignored; without a toxic
-label every score is the prior (0 without labels); other columns are ignored.
+label every score is the prior (0 without labels); buckets that tell equally much count in their order; other columns
+are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

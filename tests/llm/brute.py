@@ -92,3 +92,22 @@ def base_rules(text):
     hit = {j for k in range(len(w) - 2) if grams[tuple(w[k : k + 3])] > 1 for j in range(k, k + 3)}
     n = len(w)
     return (n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(hit), n < 50 or 100 * len(hit) > 50 * n)
+
+
+def chat(turns, tokens, budget=1024, history=256):
+    """Characters of all windows of one conversation, by plain sums. turns: (role, text); the system turns that open it fit one window."""
+    size = lambda k: len(f"### {turns[k][0]}:\n\n</turn>\n") + sum(1 + (c in "\\#:<" if part == 0 else c in "\\#<") for part in (0, 1) for c in turns[k][part]) - len(turns[k][0])
+    system = next((k for k, t in enumerate(turns) if t[0] != "system"), len(turns))
+    at, total = 0, 0
+    while at < len(turns):
+        lead = range(system) if at else range(0)
+        used, end = sum(tokens[k] for k in lead), at
+        while end < len(turns) and (end == at or used + tokens[end] <= budget):
+            used += tokens[end]
+            end += 1
+        room, back = min(history, max(0, budget - used)), at
+        while back and sum(tokens[back - 1 : at]) <= room:
+            back -= 1
+        total += sum(map(size, [*lead, *range(back, end)]))
+        at = end
+    return total

@@ -392,6 +392,52 @@ def test_encode_rows(spark, docs, none, model, giant, monkeypatch):
 # Sharding
 
 
+def test_formatted_chars_equal_plain_sums(spark):
+    """Every conversation of the table, and long ones, against windows by plain sums."""
+    rng = random.Random(8)
+    counter = token_counts.counter_of(open(tokenizer("byte_bpe_50k.json"), encoding="utf-8").read())
+    rows = [tuple(r) for r in real(spark, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    for conv in range(10**6, 10**6 + 12):
+        rows += [(conv, k, "system" if k < conv % 2 else ["user", "assistant"][k % 2], " ".join(rng.choices(["a", "bee", "#sea", "<d>", "\\e"], k=rng.randrange(700)))) for k in range(30)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {r.conv_id: r.formatted_chars for r in chat.digests(chat.format_conversations(df, tokenizer("byte_bpe_50k.json"))).collect()}
+    each = {}
+    for conv, _, role, text in sorted(rows, key=lambda r: (r[0], r[1], r[2], r[3] or "")):
+        each.setdefault(conv, []).append((role or "", text or ""))
+    assert found == {conv: brute.chat(turns, counter.counts([chat.turn_text(*t)[0] for t in turns])) for conv, turns in each.items()}
+
+
+def test_the_risk_s_gradient(spark):
+    """The first step goes against the slope of the plain non-negative risk, or of the term below zero alone."""
+    rng = np.random.default_rng(2)
+    chosen = np.arange(6)
+    texts = lambda n, p: [np.flatnonzero(rng.random(6) < p) for _ in range(n)]
+    for prior in (0.2, 0.6):
+        positive, unlabelled = texts(40, np.array([0.9, 0.7, 0.5, 0.3, 0.1, 0.2])), texts(80, np.array([0.2, 0.3, 0.5, 0.6, 0.7, 0.1]))
+        rows = lambda found: np.array([np.isin(chosen, x) for x in found], float)
+        p, u = rows(positive), rows(unlabelled)
+
+        def risk(w, p=p, u=u, prior=prior):
+            loss = lambda x, sign: np.log1p(np.exp(-sign * (x @ w[:-1] + w[-1]))).mean()
+            corrected = loss(u, -1) - prior * loss(p, -1)
+            return prior * loss(p, 1) + corrected if corrected >= 0 else -corrected
+
+        made = toxicity.learn(positive, unlabelled, chosen, prior, steps=1, rate=0.01, ridge=0)
+        start = toxicity.learn(positive, unlabelled, chosen, prior, steps=0)
+        w0 = np.append(start.weights[:6], start.bias)
+        slope = np.array([(risk(w0 + d) - risk(w0 - d)) / 2e-5 for d in np.eye(7) * 1e-5])
+        step = np.append(made.weights[:6], made.bias) - w0
+        steep = np.abs(slope) > 1e-4
+        assert (np.sign(step[steep]) == -np.sign(slope[steep])).all() and np.allclose(np.abs(step[steep]), 0.01, rtol=0.01)
+
+
+def test_folds_and_cuts_of_the_classifiers(spark, docs, labels):
+    for out, parts, held, cut in ((quality_classifier.classify_quality(docs, labels), 5, 0, 0.3), (toxicity.score_toxicity(docs, labels), 3, 1, 0.7)):
+        for r in out.collect():
+            fold = 0 if r.doc_id is None else zlib.crc32(str(r.doc_id).encode()) % parts
+            assert r.held_out == (fold == held) and r.predicted == int(r.score >= cut) and 0 <= r.score <= 1
+
+
 def test_shards_follow_the_curve_and_keep_equal_texts_together(spark, monkeypatch):
     """Cells never fall along the shards; a text's rows follow each other, whatever their language and source, a hot one's too."""
     monkeypatch.setattr(sharding, "SALTS", 5)

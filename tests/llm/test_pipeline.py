@@ -64,8 +64,17 @@ def test_stages_keep_the_columns(spark):
 
 
 def test_stages_take_awkward_rows(spark):
+    """Nulls, empty and long texts, repeated rows, and columns whose names the operators use inside: each stage's rows exactly."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", None, "s", 0), (1, None, "en", None, 5), (1, "x" * 3000, "en", "s", 3000), (1, "x" * 3000, "en", "s", 3000)], docs.schema)
-    for _, stage in corpus_pipeline.STAGES:
-        assert stage(spark, odd, FOLDER).count() <= 5
+    kind = "doc_id long, text string, lang string, source string, n_chars long, h string, fp long, key int, n int, ids string, __id string, mark double, wanted int"
+    extra = ("clash", 2, 3, 4, "clash", "clash", 0.5, 6)
+    rows = [(None, None, None, None, None), (1, "", None, "s", 0), (1, None, "en", None, 5), (1, "x" * 3000, "en", "s", 3000), (1, "x" * 3000, "en", "s", 3000), (2, "short text", "en", "s", 10)]
+    odd = spark.createDataFrame([(*r, *extra) for r in rows], kind)
+    kept = {"quality_rules": [], "simhash_near_dedup": [(1, ""), (1, "x" * 3000), (2, "short text")], "suffix_array_dedup": [(None, ""), (1, ""), (1, ""), (2, "short text")], "benchmark_decontamination": [(r[0], r[1] or "") for r in rows], "sentencepiece": [(r[0], r[1] or "") for r in rows]}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, FOLDER)
+        found = out.collect()
+        assert sorted(((r.doc_id or 0, r.text or "") for r in found)) == sorted((i or 0, t) for i, t in kept[name]), name
+        assert all(r["h"] == "clash" and r["fp"] == 2 and r["key"] == 3 and r["__id"] == "clash" and r["wanted"] == 6 for r in found), name
+        assert name == "sentencepiece" or out.dtypes == odd.dtypes
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
