@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: Rows and bytes of one Arrow batch: long texts must not pile up in a worker.
 BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 #: Bytes of what a worker remembers in one place, by estimate, and the longest key that is worth it.
-MEMO_BYTES, LONG_KEY = 32 << 20, 1_024
+MEMO_BYTES, LONG_KEY = 64 << 20, 1_024
 
 
 class Memo(dict):

@@ -25,7 +25,7 @@ class Lattice:
     def __init__(self, tokens: set, rank: Callable[[Hashable, Hashable], float | None]):
         self.tokens, self.rank = tokens, rank
         self.longest = max(map(len, tokens), default=1)
-        self._joins = Memo()
+        self._joins = Memo(48 << 20)
         self._automaton = ahocorasick.Automaton()
         for t in tokens:
             self._automaton.add_word(t if isinstance(t, str) else t.decode("latin-1"), t)

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache, reduce
 from itertools import chain
@@ -84,7 +85,7 @@ class Pieces:
             self.bytes_of[k] = p.replace(MARK, " ").encode()
         for b, k in self.byte_ids.items():
             self.bytes_of[k] = bytes([b])
-        self.units = Memo()  # ids of each unit met so far
+        self.units = Memo()  # ids of each unit met so far, as 32-bit numbers
 
     def marked(self, text: str) -> str:
         """The text as the model reads it: a mark in front and for each space."""
@@ -101,7 +102,7 @@ class Pieces:
         """Encode the units not met before, in sorted order: each starts from the prefix it shares with the one before."""
         known, id_of = self.units, self.ids.get
         new = {u for u in units if u not in known}
-        if known.room(sum(200 + 10 * len(u) for u in new)):
+        if known.room(sum(160 + 6 * len(u) for u in new)):
             new = set(units)
         order = sorted(new)
         for unit, (last, _) in zip(order, self.lattice.forward_each(order), strict=True):
@@ -115,7 +116,7 @@ class Pieces:
                     out.append(found)
                 i -= len(piece)
             out.reverse()
-            known[unit] = tuple(out)
+            known[unit] = array("i", out).tobytes()
 
     def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text; texts are taken in groups of some ``GROUP`` characters."""
@@ -128,7 +129,7 @@ class Pieces:
                 at += 1
             self.learn(set(chain.from_iterable(group)))
             for units in group:
-                yield np.fromiter(chain.from_iterable(map(self.units.__getitem__, units)), np.int32)
+                yield np.frombuffer(b"".join(map(self.units.__getitem__, units)), np.int32)
 
     def encode(self, text: str) -> np.ndarray:
         return next(self.encode_all([text]))
@@ -136,7 +137,7 @@ class Pieces:
     def unit_ids(self, marked: str) -> list[int]:
         units = self.parts(marked)
         self.learn(units)
-        return list(chain.from_iterable(map(self.units.__getitem__, units)))
+        return np.frombuffer(b"".join(map(self.units.__getitem__, units)), np.int32).tolist()
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))

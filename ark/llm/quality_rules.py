@@ -39,6 +39,9 @@ BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repea
 class Buckets(Memo):
     """Hash of each word, kept for the next time; bounded."""
 
+    def __init__(self) -> None:
+        super().__init__(24 << 20)
+
     def __missing__(self, word: bytes) -> int:
         found = zlib.crc32(word)
         if len(word) < LONG_KEY:

@@ -16,7 +16,7 @@ import json
 from array import array
 from collections import deque
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import pandas as pd
 import regex
@@ -76,7 +76,10 @@ class PrefixCounter:
         """Token counts of pieces; of a very long one nothing is kept."""
         self._learn(pieces)
         known = self._counts
-        return [known[p][-1] if p in known else deque(self.lattice.places(p.encode()), 1)[0] for p in pieces]
+        try:
+            return [known[p][-1] for p in pieces]
+        except KeyError:  # a very long one
+            return [known[p][-1] if p in known else deque(self.lattice.places(p.encode()), 1)[0] for p in pieces]
 
     def counts(self, texts: list[str]) -> list[int]:
         """Tokens of each whole text: the last of its prefix counts. Texts are taken in groups of some ``GROUP`` characters."""
@@ -142,8 +145,11 @@ class PrefixCounter:
         marks = [*self._special.finditer(text), None]
         for mark in marks:
             end = mark.start() if mark else len(text)
-            pieces = self._split.findall(text[at:end])
-            sums = [base, *accumulate(self._each(pieces), initial=base)][1:]
+            pieces, sums = [], [base]
+            found = self._split.finditer(text[at:end])
+            while sums[max(0, len(sums) - 4)] <= limit and (some := [m[0] for m in islice(found, 512)]):  # some pieces past the limit, or all
+                pieces += some
+                sums += [*accumulate(self._each(some), initial=sums[-1])][1:]
             if sums[-1] + (mark is not None) > limit:
                 k = max(0, next(i for i, s in enumerate([*sums, limit + 1]) if s > limit) - 2)  # a piece earlier, for split white space
                 start = at + sum(map(len, pieces[:k]))
