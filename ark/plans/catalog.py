@@ -104,16 +104,31 @@ def set_filter(t: Tables) -> DataFrame:
 
 
 def _passages(t: Tables) -> DataFrame:
-    """(item_id, doc_id) of passages inside documents: met by five words within the passage, then compared whole."""
+    """(item_id, doc_id) of passages inside documents: met by a run of up to five whole words within the passage, then compared.
+
+    A passage's first and last word may be parts of longer ones in a document, so they are no key. One of one or two
+    words has no inner word: such passages are few or none, and are looked for one by one in the same scan.
+    """
     inner = lambda c: F.split(c, r"\s+")
-    items = t.benchmark.select("item_id", F.col("text").alias("passage")).withColumn("w", inner("passage")).where("size(w) >= 7").withColumn("key", F.xxhash64(F.array_join(F.slice("w", 2, 5), " ")))
-    words = t.documents.select("doc_id", "text").withColumn("w", inner("text")).where("size(w) >= 5")
-    keys = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 4), lambda i: F.xxhash64(F.array_join(F.slice("w", i, 5), " "))))
-    met = words.select("doc_id", F.explode(keys).alias("key")).join(items.select("item_id", "passage", "key"), "key").select("doc_id", "item_id", "passage").distinct()
-    long = t.documents.select("doc_id", "text").join(met, "doc_id").where(F.contains("text", "passage")).select("item_id", "doc_id")
-    short = t.benchmark.where(F.size(inner("text")) < 7).select("item_id", F.col("text").alias("passage"))  # too few words for a key
-    rest = t.documents.select("doc_id", "text").join(short, F.contains(F.col("text"), F.col("passage"))).select("item_id", "doc_id")
-    return long.union(rest).distinct()
+    items = t.benchmark.select("item_id", F.col("text").alias("passage")).withColumn("w", inner("passage")).withColumn("k", F.least(F.size("w") - 2, F.lit(5)))
+    lengths = sorted(r.k for r in items.select("k").distinct().collect() if r.k and r.k > 0)  # five at most
+    keyed = items.where("k > 0").withColumn("key", F.xxhash64("k", F.array_join(F.slice("w", F.lit(2), F.col("k")), " ")))
+    words = t.documents.select("doc_id", "text").withColumn("w", inner("text"))
+
+    def runs_of(k: int):
+        run = lambda i: F.xxhash64(F.lit(k), F.array_join(F.slice("w", i, k), " "))
+        return F.when(F.size("w") >= k, F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - (k - 1), F.lit(1))), run)).otherwise(F.array().cast("array<long>"))
+
+    runs = [runs_of(k) for k in lengths]
+    keys = F.array_distinct(F.concat(*runs)) if runs else F.array().cast("array<long>")
+    met = words.select("doc_id", F.explode(keys).alias("key")).join(keyed.select("item_id", "passage", "key"), "key").select("doc_id", "item_id", "passage").distinct()
+    found = t.documents.select("doc_id", "text").join(met, "doc_id").where(F.contains("text", "passage")).select("item_id", "doc_id")
+    short = items.where("k <= 0").select("item_id", "passage")
+    if short.isEmpty():
+        return found
+    listed = short.agg(F.collect_list(F.struct("item_id", "passage")).alias("short"))
+    few = t.documents.select("doc_id", "text").join(F.broadcast(listed), F.lit(True)).select("doc_id", F.explode(F.filter("short", lambda s: F.contains(F.col("text"), s["passage"]))).alias("s"))  # one row of passages
+    return found.union(few.select("s.item_id", "doc_id")).distinct()
 
 
 @query("""SELECT b.item_id, d.doc_id, d.doc_id IN (SELECT doc_id FROM labels) AS labelled FROM benchmark b JOIN documents d ON contains(d.text, b.text)""")
