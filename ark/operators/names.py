@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.titles import parsed_title, tier
+from ..shared import stored
 
 
 def resolve_names(entries: DataFrame, titles: DataFrame) -> DataFrame:
@@ -21,6 +22,7 @@ def resolve_names(entries: DataFrame, titles: DataFrame) -> DataFrame:
     shared = F.arrays_overlap("s.regions", "c.regions")
     met = met.select("entry_id", "release_id", "game_id", F.coalesce("tier", F.lit(3)).alias("tier"), F.coalesce(shared, F.lit(False)).alias("near"),
                      (F.col("s.version") == F.col("c.version")).alias("same"), ((F.size("s.stage") > 0) & (F.col("s.stage") == F.col("c.stage"))).alias("staged"))
+    met = stored(met, "met")  # read several times below
     best = met.groupBy("entry_id").agg(F.min("tier").alias("tier"))
     kept = _narrow(met.join(best, ["entry_id", "tier"]), "near", always=True)
     kept = _narrow(_narrow(kept, "same"), "staged")
