@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.expressions import base_title, revision, title_tags
+from ..shared import stored
 
 
 def parsed(df: DataFrame, name: str) -> DataFrame:
@@ -16,18 +17,33 @@ def parsed(df: DataFrame, name: str) -> DataFrame:
     return df.withColumns({"base": F.lower(base_title(F.col(name))), "tags": F.array_join(tags, "|"), "region": first, "revision": revision(F.col(name))})
 
 
+def _keyed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, base, tier, value) of the titles: what an equal must share to be of that tier, once each."""
+    of = lambda tier, value: F.struct(F.lit(tier).alias("tier"), value.alias("value"))
+    tiers = F.array(of(0, F.lower(name)), of(1, F.col("tags")), of(2, F.col("region")), of(3, F.lit("")))
+    return parsed(df, name).select(key, "base", F.explode(tiers).alias("k")).select(key, "base", "k.tier", "k.value").distinct()
+
+
 def resolve(entries: DataFrame, titles: DataFrame) -> DataFrame:
     """(entry_id, tier, status, game_id, n_games): the best tier of each entry's candidates.
 
     ``entries``: entry_id, name; ``titles``: game_id, title. Tier 0 is the exact title, 1 equal base and tags, 2 equal
     base and region, 3 equal base. One game in the best tier is a match, more are ambiguous, none is unmatched.
+
+    Games are counted once for each base, tier and value, and entries read the counts: the first tier that has any
+    games has them all, so entries and titles of a common base never meet in pairs. Only an entry_id with several names
+    whose best tier has several counts is held against the games themselves.
     """
-    e = parsed(entries, "name").select("entry_id", F.col("name"), "base", F.col("tags").alias("e_tags"), F.col("region").alias("e_region"))
-    t = parsed(titles, "title").select("game_id", "title", "base", F.col("tags").alias("t_tags"), F.col("region").alias("t_region"))
-    tier = F.when(F.lower("name") == F.lower("title"), 0).when(F.col("e_tags") == F.col("t_tags"), 1).when(F.col("e_region") == F.col("t_region"), 2).otherwise(3)
-    met = e.join(t, "base").select("entry_id", "game_id", tier.alias("tier"))
-    each = met.groupBy("entry_id", "tier").agg(F.count_distinct("game_id").alias("n_games"), F.min("game_id").alias("game_id"))
-    best = each.groupBy("entry_id").agg(F.min(F.struct("tier", "n_games", "game_id")).alias("b")).select("entry_id", "b.*")
+    keys = ["base", "tier", "value"]
+    mine, games = _keyed(entries, "entry_id", "name"), _keyed(titles, "game_id", "title")
+    counted = games.groupBy(*keys).agg(F.count_distinct("game_id").alias("n_games"), F.min("game_id").alias("game_id"))
+    met = mine.join(counted, keys)
+    each = met.groupBy("entry_id", "tier").agg(F.count("*").alias("counts"), F.max("n_games").alias("n_games"), F.min("game_id").alias("game_id"))
+    best = each.groupBy("entry_id").agg(F.min(F.struct("tier", "counts", "n_games", "game_id")).alias("b")).select("entry_id", "b.*")
+    best = stored(best, "best")  # read twice below
+    several = best.where("counts > 1").select("entry_id", "tier").join(mine, ["entry_id", "tier"]).join(games, keys)
+    several = several.groupBy("entry_id").agg(F.count_distinct("game_id").alias("all_games"))
+    best = best.join(several, "entry_id", "left").select("entry_id", "tier", "game_id", F.coalesce("all_games", "n_games").alias("n_games"))
     status = F.when(F.col("n_games").isNull(), "unmatched").when(F.col("n_games") == 1, "matched").otherwise("ambiguous")
     out = entries.select("entry_id").join(best, "entry_id", "left").withColumn("status", status)
     return out.select("entry_id", "tier", "status", F.when(F.col("status") == "matched", F.col("game_id")).alias("game_id"), F.coalesce("n_games", F.lit(0)).cast("long").alias("n_games"))

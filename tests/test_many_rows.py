@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from ark.operators import titles
 from ark.sources import lists
 
 
@@ -44,3 +45,22 @@ def test_exports_are_parsed_once(spark):
     texts = spark.createDataFrame([(str(k), text) for k in range(10)], "file string, value string").mapInPandas(count, "file string, value string")
     assert [r.faults for r in lists.export_files(lists.export_records(texts)).collect()] == [[]] * 10
     assert seen.value == 10
+
+
+def test_titles_of_one_base(spark):
+    """Entries read counts of titles: one base of many titles is not squared."""
+    n = 60_000
+    name = F.concat(F.lit("Same"), F.when(F.col("id") % 3 == 0, F.concat(F.lit(" (v"), "id", F.lit(")"))).when(F.col("id") % 3 == 1, " (USA)").otherwise(""))
+    rows = spark.range(n).select("id", name.alias("name"))
+    began = time.monotonic()
+    out = titles.resolve(rows.toDF("entry_id", "name"), rows.toDF("game_id", "title")).groupBy("tier", "status", "n_games").count().collect()
+    assert {tuple(r) for r in out} == {(0, "matched", 1, n // 3), (0, "ambiguous", n // 3, 2 * n // 3)}
+    assert time.monotonic() - began < 60
+
+
+def test_an_entry_of_several_names(spark):
+    """The games of all its names in the best tier count, each once."""
+    entries = spark.createDataFrame([(1, "A"), (1, "B"), (2, "A (USA)"), (2, "B (USA)"), (3, "C"), (4, "A"), (4, "A (USA)"), (5, None)], "entry_id long, name string")
+    games = spark.createDataFrame([(7, "A"), (7, "B"), (8, "B"), (9, "A (Japan)")], "game_id long, title string")
+    out = {(r.entry_id, r.tier, r.status, r.game_id, r.n_games) for r in titles.resolve(entries, games).collect()}
+    assert out == {(1, 0, "ambiguous", None, 2), (2, 3, "ambiguous", None, 3), (3, None, "unmatched", None, 0), (4, 0, "matched", 7, 1), (5, None, "unmatched", None, 0)}
