@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import lzma
 import time
 
 from pyspark.sql import functions as F
 
+from ark.functions import encodings
 from ark.operators import titles
 from ark.sources import lists
 
@@ -64,3 +66,17 @@ def test_an_entry_of_several_names(spark):
     games = spark.createDataFrame([(7, "A"), (7, "B"), (8, "B"), (9, "A (Japan)")], "game_id long, title string")
     out = {(r.entry_id, r.tier, r.status, r.game_id, r.n_games) for r in titles.resolve(entries, games).collect()}
     assert out == {(1, 0, "ambiguous", None, 2), (2, 3, "ambiguous", None, 3), (3, None, "unmatched", None, 0), (4, 0, "matched", 7, 1), (5, None, "unmatched", None, 0)}
+
+
+def test_small_blocks_take_small_dictionaries():
+    """The bytes are those of the preset's own dictionary, without the time to set one of 64 MiB up for each block."""
+    blocks = [(f"block {k} " * 400).encode()[: 3000 + k] for k in range(300)]
+    began = time.monotonic()
+    assert [encodings.decode(c, d, len(b)) for b, (c, d) in zip(blocks, map(encodings.plain, blocks), strict=True)] == blocks
+    assert time.monotonic() - began < 5
+    coded = [encodings._lzma(b) for b in blocks]
+    assert coded[::60] == [lzma.compress(b, lzma.FORMAT_RAW, filters=encodings.FILTERS) for b in blocks[::60]]
+    codec, packed = encodings.difference(blocks[9], blocks[9][::-1])
+    assert encodings.decode(codec, packed, len(blocks[9]), blocks[9][::-1]) == blocks[9]
+    assert [encodings.decode("lzma", c, len(b)) for b, c in zip(blocks, coded, strict=True)] == blocks
+    assert encodings.decode("lzma", encodings._lzma(b""), 0) == b""
