@@ -1,4 +1,9 @@
-"""Near copies by exact similarity: every pair of texts whose word shingles have a Jaccard similarity of at least ``percent``.
+"""Near copies by SimHash, and exactly: every pair of texts whose word shingles have a Jaccard similarity of at least ``percent``.
+
+Texts are first linked by their 64-bit SimHash fingerprints over the same shingles, through the blocks of ``simhash``:
+those of one fingerprint with the first of them, and the first ones of fingerprints at most two bits apart. A link
+stands if the exact similarity does. No number of bits bounds this similarity, so the pairs whose fingerprints lie
+further apart are found in an exact way; what is one component by then is not compared again.
 
 The shingles of a text are ordered by one order that holds for all texts: hot ones last, then by hash. Two sets that
 are similar enough share a shingle among the first n - ceil(percent * n) + 1 of each, whatever that order is, so the
@@ -23,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import documents_only, forget, map_batches, stored, text_bytes
-from .simhash import NO_ID, components, keep_heads, text_mark
+from .simhash import NO_ID, components, fingerprints, keep_heads, links, text_mark
 
 SHINGLE, PERCENT = 5, 80
 #: One text in ``SHARE`` is looked at for hot shingles; one that leads more than ``HOT`` of them is hot, the ``MOST`` hottest at most.
@@ -108,6 +113,19 @@ def verified(candidates: DataFrame, texts: DataFrame, shingle: int, percent: int
     return out
 
 
+def fingerprint_links(marks: DataFrame) -> DataFrame:
+    """(a, b), a < b, of (fp, simhash): texts to be compared, as their fingerprints are equal or at most two bits apart.
+
+    All texts of one fingerprint meet the first of them alone, and so do fingerprints: as many rows as texts and links.
+    """
+    texts = stored(marks.select("fp", "simhash").distinct(), "simhashes")
+    heads = stored(texts.groupBy("simhash").agg(F.min("fp").alias("head")), "heads")
+    same = texts.join(heads, "simhash").where("fp <> head").select(F.col("head").alias("a"), F.col("fp").alias("b"))
+    near = stored(links(heads.select(F.col("simhash").alias("fp"))), "links")
+    near = near.join(heads.toDF("a", "x"), "a").join(heads.toDF("b", "y"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return stored(same.union(near), "near")
+
+
 def _open_keys(shared: DataFrame, group: DataFrame) -> DataFrame:
     """The postings with their component's root, of keys that are not one component yet."""
     named = shared.join(group, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -117,13 +135,13 @@ def _open_keys(shared: DataFrame, group: DataFrame) -> DataFrame:
 
 def similar_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, fp) of the rows, fp a hash of the text; (fp, label, root), its component."""
-    spark = docs.sparkSession
-    rows = documents_only(docs).withColumn("fp", text_mark())
-    marks, texts = stored(rows.select("doc_id", "fp"), "marks"), rows.select("fp", "text")
+    marks = stored(fingerprints(docs, shingle).toDF("doc_id", "fp", "simhash"), "marks")
+    texts = documents_only(docs).withColumn("fp", text_mark()).select("fp", "text")
     nodes = stored(marks.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("label")), "nodes")
     shared = postings(texts, shingle, percent)
-    edges = tried = spark.createDataFrame([], "a long, b long")
-    group = spark.createDataFrame([], "fp long, root long")
+    tried = fingerprint_links(marks)
+    edges = verified(tried, texts, shingle, percent)
+    group = components(nodes, edges).select("fp", "root")
     for _ in range(ROUNDS):
         named = _open_keys(shared, group)
         head = named.groupBy("key").agg(F.min(F.struct("fp", "n", "pos", "root")).alias("h")).select("key", F.col("h.fp").alias("a"), F.col("h.n").alias("n_b"), F.col("h.pos").alias("pos_b"), F.col("h.root").alias("root_b"))
@@ -139,7 +157,7 @@ def similar_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
     swapped = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(rest.join(swapped, ["a", "b"], "left_anti"), "pairs")
     edges = edges.union(verified(rest, texts, shingle, percent))
-    return marks, components(nodes, edges)
+    return marks.select("doc_id", "fp"), components(nodes, edges)
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -73,3 +73,18 @@ def test_awkward_rows(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert kept.dtypes == docs.dtypes and sorted(i for i in ids if i) == [1, 4, 5, 8, 9, 11] and ids.count(None) == 1
     assert similar.keep_one(docs.limit(0)).count() == 0
+
+
+def test_fingerprints_link_texts(spark, monkeypatch):
+    """Without the exact way for the rest: fingerprints of five-word shingles at most two bits apart link, if the texts are similar."""
+    monkeypatch.setattr(similar, "postings", lambda texts, *_: texts.sparkSession.createDataFrame([], "key long, fp long, n int, pos int"))
+    rng = random.Random(3)
+    apart = lambda a, b: (simhash.fingerprint(a, similar.SHINGLE) ^ simhash.fingerprint(b, similar.SHINGLE)).bit_count()
+    base, *near = family(rng, 600, 80, 1)
+    near = sorted(near, key=lambda t: apart(base, t))
+    assert apart(base, near[0]) <= 2 < apart(base, "other words of a text")
+    often = " ".join(f"line{k}" for k in range(11))
+    same = [" ".join([often] * 60 + [f"x{n}y{k}" for k in range(40)]) for n in range(2)]
+    assert apart(*same) <= 2
+    docs = list(enumerate([base, near[0], "other words of a text", *same]))
+    assert found(spark.createDataFrame(docs, "doc_id long, text string")) == plain(docs) == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
