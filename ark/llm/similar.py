@@ -9,11 +9,13 @@ The shingles of a text are ordered by one order that holds for all texts: hot on
 are similar enough share a shingle among the first n - ceil(percent * n) + 1 of each, whatever that order is, so the
 pairs that meet under one of these keys are all there are; their exact similarity is counted then.
 
-Hot shingles are those that by hash order alone lead over ``HOT`` texts of a quarter of all: a passage that many texts
-share has such ones. Which are hot decides how many pairs meet by chance, never which pairs are found. With them last,
-a key is left with few texts unless nearly all of each text is hot: then they are copies of one another, and join in
-rounds. In each round a text is held against one text of its keys, the one it shares most of them with; whatever is
-one component by then need not be compared again, so a group of near copies is not squared.
+Hot shingles are those that over ``HOT`` texts of a quarter of all hold, wherever they stand in a text: a passage that
+many texts share has such ones, and so have near copies. Which are hot decides how many pairs meet by chance, never which
+pairs are found. With the most frequent last, a text leads with what it has alone, so one that differs too much from its
+near copies meets none of them under a key that still allows the similarity. The others join in rounds. In each round a
+text is held against one text of its keys, the one it shares most of them with; of a key that is the text in which it
+stands first, as that one has least of its own. Whatever is one component by then need not be compared again, so a group
+of near copies is not squared.
 
 Defined cases: as in ``simhash``; texts without words are copies of each other, and a text of fewer words than a
 shingle has is one shingle. Hashes of 64 bits stand for equality of shingles.
@@ -31,7 +33,7 @@ from .common import documents_only, forget, map_batches, stored, text_bytes
 from .simhash import NO_ID, components, fingerprints, keep_heads, links, text_mark
 
 SHINGLE, PERCENT = 5, 80
-#: One text in ``SHARE`` is looked at for hot shingles; one that leads more than ``HOT`` of them is hot, the ``MOST`` hottest at most.
+#: One text in ``SHARE`` is looked at for hot shingles; one that more than ``HOT`` of them hold is hot, the ``MOST`` hottest at most.
 SHARE, HOT, MOST = 4, 4, 1_000_000
 #: Rounds of one comparison for each text.
 ROUNDS = 2
@@ -84,13 +86,26 @@ def _leading(texts: DataFrame, shingle: int, percent: int, hot: np.ndarray, time
     return map_batches(texts.select("fp", "text"), make, "key long, fp long, n int, pos int")
 
 
-def postings(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(key, fp, n, pos): the leading shingles that several texts share, once for each text; copies are one."""
-    some = _leading(texts.where(F.pmod("fp", F.lit(SHARE)) == 0), shingle, percent, np.zeros(0, np.uint64), np.zeros(0, np.int64)).select("key", "fp").distinct()
-    often = some.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).orderBy(F.desc("n"), "key").limit(MOST).toPandas()
+def _frequent(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hot shingles in ascending order, and in how many of the texts looked at each is: all shingles of a text count, not its leading ones."""
+
+    def make():
+        def step(batch: pd.DataFrame) -> pd.DataFrame:
+            key, n = np.unique(np.concatenate([shingles(t, shingle) for t in batch["text"]]), return_counts=True)
+            return pd.DataFrame({"key": key.view(np.int64), "n": n})
+
+        return step
+
+    some = map_batches(texts.where(F.pmod("fp", F.lit(SHARE)) == 0).select("text"), make, "key long, n long")
+    often = some.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > HOT).orderBy(F.desc("n"), "key").limit(MOST).toPandas()
     hot, times = often["key"].to_numpy(np.int64).view(np.uint64), often["n"].to_numpy(np.int64)
     order = np.argsort(hot)
-    rows = _leading(texts, shingle, percent, hot[order], times[order])
+    return hot[order], times[order]
+
+
+def postings(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(key, fp, n, pos): the leading shingles that several texts share, once for each text; copies are one."""
+    rows = _leading(texts, shingle, percent, *_frequent(texts, shingle))
     rows = rows.repartition("key").dropDuplicates(["key", "fp"])
     return stored(rows.withColumn("__m", F.count("*").over(Window.partitionBy("key"))).where("__m > 1").drop("__m"), "postings")
 
@@ -144,9 +159,10 @@ def similar_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
     group = components(nodes, edges).select("fp", "root")
     for _ in range(ROUNDS):
         named = _open_keys(shared, group)
-        head = named.groupBy("key").agg(F.min(F.struct("fp", "n", "pos", "root")).alias("h")).select("key", F.col("h.fp").alias("a"), F.col("h.n").alias("n_b"), F.col("h.pos").alias("pos_b"), F.col("h.root").alias("root_b"))
-        pairs = named.join(head, "key").where((F.col("root") != F.col("root_b")) & _may_be(percent)).groupBy("a", F.col("fp").alias("b")).agg(F.count("*").alias("k"))
-        pairs = pairs.join(tried, ["a", "b"], "left_anti").groupBy("b").agg(F.min(F.struct(-F.col("k"), "a")).alias("best")).select("best.a", "b")
+        head = named.groupBy("key").agg(F.min(F.struct("pos", "fp", "n", "root")).alias("h")).select("key", F.col("h.fp").alias("head"), F.col("h.n").alias("n_b"), F.col("h.pos").alias("pos_b"), F.col("h.root").alias("root_b"))
+        pairs = named.join(head, "key").where((F.col("root") != F.col("root_b")) & _may_be(percent)).groupBy("fp", "head").agg(F.count("*").alias("k"))
+        pairs = pairs.withColumns({"a": F.least("fp", "head"), "b": F.greatest("fp", "head")}).join(tried, ["a", "b"], "left_anti")
+        pairs = pairs.groupBy("fp").agg(F.min(F.struct(-F.col("k"), "a", "b")).alias("best")).select("best.a", "best.b").distinct()
         pairs = stored(pairs, "stars")
         edges, tried = edges.union(verified(pairs, texts, shingle, percent)), tried.union(pairs)
         forget(named)
@@ -154,8 +170,7 @@ def similar_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
     named = _open_keys(shared, group)
     other = named.select("key", F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"), F.col("root").alias("root_b"))
     rest = named.join(other, "key").where((F.col("fp") < F.col("b")) & (F.col("root") != F.col("root_b")) & _may_be(percent)).select(F.col("fp").alias("a"), "b").distinct()
-    swapped = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(rest.join(swapped, ["a", "b"], "left_anti"), "pairs")
+    rest = stored(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
     edges = edges.union(verified(rest, texts, shingle, percent))
     return marks.select("doc_id", "fp"), components(nodes, edges)
 

@@ -88,3 +88,19 @@ def test_fingerprints_link_texts(spark, monkeypatch):
     assert apart(*same) <= 2
     docs = list(enumerate([base, near[0], "other words of a text", *same]))
     assert found(spark.createDataFrame(docs, "doc_id long, text string")) == plain(docs) == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
+
+
+def test_a_large_group_is_not_squared(spark, monkeypatch):
+    """Near copies of one text, similar to it or not quite: each is held against few others, and no link is lost."""
+    rng, compared, verified = random.Random(8), [], similar.verified
+    monkeypatch.setattr(similar, "verified", lambda pairs, *rest: compared.append(pairs.count()) or verified(pairs, *rest))
+    base = [f"w{rng.randrange(5_000)}" for _ in range(150)]
+    texts = [" ".join(base)]
+    for n in range(240):
+        text = list(base)
+        for at in rng.sample(range(150), 1 + n % 8):
+            text[at] = f"new{n}x{at}"
+        texts.append(" ".join(text))
+    docs = list(enumerate(texts))
+    assert found(spark.createDataFrame(docs, "doc_id long, text string")) == plain(docs)
+    assert sum(compared) < 4 * len(docs)
