@@ -103,10 +103,10 @@ class PrefixCounter:
     def count(self, text: str) -> int:
         return self.counts([text])[0]
 
-    def _within(self, piece: str) -> list[int]:
+    def _within(self, piece: str) -> array:
         """Counts of the piece's own prefixes, by characters, from those that are stored."""
         self._learn([piece])
-        counts, out = self._counts.get(piece) or self.lattice.places(piece.encode()), []
+        counts, out = self._counts.get(piece) or self.lattice.places(piece.encode()), array("I")
         ends = accumulate(len(c.encode()) for c in piece)
         end = next(ends, None)
         for at, n in enumerate(counts):
@@ -115,11 +115,12 @@ class PrefixCounter:
                 end = next(ends, None)
         return out
 
-    def _plain(self, text: str) -> list[int]:
-        out, base, before, last = [0], 0, 0, ""
+    def _plain(self, text: str) -> array:
+        """Counts of the prefixes of a text without special strings; packed, as a giant word has as many as characters."""
+        out, base, before, last = array("I", [0]), 0, 0, ""
         for piece in self._split.findall(text):
             counts = self._within(piece)
-            row = [base + c for c in counts]
+            row = array("I", (base + c for c in counts))
             if last and self._space.fullmatch(last) and self._space.match(piece):
                 row[0] = before + self._within(last + piece[0])[-1]  # a prefix that ends in white space has it in one piece
             if len(piece) == 3 and piece in ("'re", "'ve", "'ll"):
